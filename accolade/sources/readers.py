@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -74,6 +74,30 @@ def read_source(spark: SparkSession, registry: Registry, name: str, system: str
     return spark.read.format(registry.fmt).load(where)
 
 
+class LazyTables(Mapping[str, DataFrame]):
+    """Named tables, each planned once and only when asked for."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers = makers
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def read_sources(spark: SparkSession, registry: Registry, systems: Mapping[str, str | None]) -> LazyTables:
+    """All landed tables of a registry, given as logical name -> source system."""
+    return LazyTables({n: lambda n=n, s=s: read_source(spark, registry, n, s) for n, s in systems.items()})
+
+
 def _plain(name: str) -> str:
     return name.lower().replace("_", "")
 

@@ -3,241 +3,209 @@
 Customers are the guests, order lines their gaming sessions, orders their restaurant checks,
 hotel stays and comps, nations the outlets and regions the properties.  Column names follow
 the styles in which tables land: some without separators, some in snake_case, one with
-contact columns that staging must drop, and with a soft-delete flag.
+contact columns that staging must drop, and with a soft-delete flag.  All arithmetic is on
+integers, dates and decimals, so results do not depend on the engine or on row order.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from accolade.functions.dates import business_day
-from accolade.sources.readers import Registry, read_source
+from accolade.sources.readers import LazyTables, Registry, read_source
 
 AS_OF = dt.date(2000, 3, 15)
-MONEY = "decimal(18,2)"
-MEMBER_OFFSET = 100000
 
-# The five tiers.
-TIERS = ((1, "Silver", 0, 1.0), (2, "Gold", 1000, 1.25), (3, "Platinum", 5000, 1.5), (4, "Diamond", 20000, 2.0),
-         (5, "Noir", 75000, 3.0))
+# The five tiers, as (name, credits required, point multiplier) from tier 1 up.
+TIERS = (("Silver", 0, 1.0), ("Gold", 1000, 1.25), ("Platinum", 5000, 1.5), ("Diamond", 20000, 2.0),
+         ("Noir", 75000, 3.0))
 
 
 def registry(sf_dir: str) -> Registry:
     return Registry(root=sf_dir, fmt="parquet", suffix=".parquet")
 
 
-def _date(text: str) -> Column:
-    return F.lit(text).cast("date")
-
-
-def _plus_hours(ts: Column, hours: Column) -> Column:
-    return ts + F.make_dt_interval(hours=hours.cast("int"))
-
-
-def _int(c: Column) -> Column:
-    return c.cast("int")
-
-
 def player(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    status = (
-        F.when(key % 50 == 0, "SelfExcluded").when(key % 50 == 1, "Banned").when(key % 50 == 2, "Inactive")
-        .otherwise("Active")
-    )
-    homes = nation.select("n_nationkey", "n_regionkey")
-    return customer.join(homes, customer.c_nationkey == homes.n_nationkey).select(
-        key.alias("playerid"),
-        F.substring("c_name", 1, 8).alias("firstname"),
-        F.substring("c_name", 10, 100).alias("lastname"),
-        F.date_add(_date("1935-01-01"), _int(key * 37 % 17500)).alias("dateofbirth"),
-        F.col("n_regionkey").alias("homepropertyid"),
-        status.alias("playerstatus"),
-        F.when(key % 11 != 0, F.col("c_acctbal") > 9000).alias("vipflag"),
-        F.lit("1999-01-01 00:00:00").cast("timestamp_ntz").alias("createdat"),
-        F.concat(F.lit("guest"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        F.when(key % 13 != 0, key % 97 == 0).alias("_deleted"),
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+        "c_custkey AS playerid",
+        "substring(c_name, 1, 8) AS firstname",
+        "substring(c_name, 10) AS lastname",
+        "date_add(DATE'1935-01-01', int(c_custkey * 37 % 17500)) AS dateofbirth",
+        "n_regionkey AS homepropertyid",
+        "CASE c_custkey % 50 WHEN 0 THEN 'SelfExcluded' WHEN 1 THEN 'Banned' WHEN 2 THEN 'Inactive' "
+        "ELSE 'Active' END AS playerstatus",
+        "IF(c_custkey % 11 = 0, NULL, c_acctbal > 9000) AS vipflag",
+        "TIMESTAMP_NTZ'1999-01-01 00:00:00' AS createdat",
+        "concat('guest', c_custkey, '@example.com') AS email",
+        "IF(c_custkey % 13 = 0, NULL, c_custkey % 97 = 0) AS _deleted",
     )
 
 
 def member(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    return customer.where(key % 20 != 19).select(
-        (key + MEMBER_OFFSET).alias("member_id"),
-        key.alias("player_id"),
-        F.concat(F.lit("M"), key.cast("string")).alias("member_number"),
-        _int(key % 5 + 1).alias("tier_id"),
-        F.date_add(_date("1979-01-01"), _int(key * 53 % 8000)).alias("enroll_date"),
-        _int(key % 5).alias("enroll_property_id"),
-        (key * 10 % 5000).alias("points_balance"),
-        (key * 7 % 3000).alias("tier_credits_ytd"),
-        F.when(key % 30 == 0, "Inactive").otherwise("Active").alias("member_status"),
-        _date("2000-03-01").alias("last_activity_date"),
-        F.when(key % 7 != 0, key % 2 == 0).alias("email_opt_in"),
-        F.when(key % 6 != 0, key % 3 == 0).alias("sms_opt_in"),
+    return customer.where("c_custkey % 20 <> 19").selectExpr(
+        "c_custkey + 100000 AS member_id",
+        "c_custkey AS player_id",
+        "concat('M', c_custkey) AS member_number",
+        "int(c_custkey % 5 + 1) AS tier_id",
+        "date_add(DATE'1979-01-01', int(c_custkey * 53 % 8000)) AS enroll_date",
+        "int(c_custkey % 5) AS enroll_property_id",
+        "c_custkey * 10 % 5000 AS points_balance",
+        "c_custkey * 7 % 3000 AS tier_credits_ytd",
+        "IF(c_custkey % 30 = 0, 'Inactive', 'Active') AS member_status",
+        "DATE'2000-03-01' AS last_activity_date",
+        "IF(c_custkey % 7 = 0, NULL, c_custkey % 2 = 0) AS email_opt_in",
+        "IF(c_custkey % 6 = 0, NULL, c_custkey % 3 = 0) AS sms_opt_in",
     )
 
 
 def tier(customer: DataFrame) -> DataFrame:
-    """Tiers that occur among the guests; names and terms are fixed."""
-    present = customer.select(_int(F.col("c_custkey") % 5 + 1).alias("tier_id")).distinct()
-    at = lambda i: F.element_at(F.array(*[F.lit(t[i]) for t in TIERS]), F.col("tier_id"))
-    return present.select(
-        "tier_id",
-        at(1).alias("tier_name"),
-        at(2).alias("tier_credits_required"),
-        at(3).alias("point_multiplier"),
+    """Tiers that occur among the guests, with their fixed names and terms."""
+    terms = ", ".join(f"named_struct('n', '{n}', 'c', {c}, 'm', double({m}))" for n, c, m in TIERS)
+    return (
+        customer.selectExpr("int(c_custkey % 5 + 1) AS tier_id")
+        .distinct()
+        .selectExpr("tier_id", f"element_at(array({terms}), tier_id) AS t")
+        .selectExpr("tier_id", "t.n AS tier_name", "t.c AS tier_credits_required", "t.m AS point_multiplier")
     )
 
 
 def player_session(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    lines = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
-        *[F.max(c).alias(c) for c in
-          ("l_suppkey", "l_returnflag", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")]
+    """One session per (order, line number); repeated lines are merged by maxima.
+
+    The one-letter flag is compared by its code, which keeps the grouping a hash aggregate.
+    """
+    lines = (
+        lineitem.selectExpr(
+            "l_orderkey", "l_linenumber", "l_suppkey", "ascii(l_returnflag) AS flag", "l_partkey", "l_quantity",
+            "CAST(l_extendedprice AS DECIMAL(18,2)) AS price", "CAST(l_discount AS DECIMAL(4,2)) AS rate",
+        )
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg({c: "max" for c in ("l_suppkey", "flag", "l_partkey", "l_quantity", "price", "rate")})
+        .withColumnsRenamed({
+            f"max({c})": c for c in ("l_suppkey", "flag", "l_partkey", "l_quantity", "price", "rate")
+        })
     )
     visits = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    price = F.col("l_extendedprice").cast(MONEY)
-    rate = F.col("l_discount").cast("decimal(4,2)")
-    start = _plus_hours(F.col("o_orderdate"), F.col("l_partkey") % 24)
-    minutes = _int(F.col("l_quantity") * 8)
-    game = F.when(F.col("l_returnflag") == "A", "Slots").when(F.col("l_returnflag") == "N", "Table").otherwise("Poker")
-    actual = (price * (rate - F.lit("0.03").cast("decimal(4,2)"))).cast(MONEY)
-    return lines.join(visits, lines.l_orderkey == visits.o_orderkey).select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("SessionID"),
-        F.col("o_custkey").alias("PlayerID"),
-        _int(F.col("l_suppkey") % 5).alias("PropertyID"),
-        game.alias("GameCategory"),
-        business_day(start, 6).alias("GamingDate"),
-        start.alias("StartTime"),
-        (start + F.make_dt_interval(mins=minutes)).alias("EndTime"),
-        minutes.alias("MinutesPlayed"),
-        price.alias("CashIn"),
-        (price - actual).cast(MONEY).alias("CashOut"),
-        price.alias("CoinInOrAction"),
-        F.col("l_quantity").cast(MONEY).alias("AverageBet"),
-        (price * rate).cast(MONEY).alias("TheoreticalWin"),
-        actual.alias("ActualWin"),
-        _int(F.col("l_partkey") % 500).alias("PointsAwarded"),
+    return lines.join(visits, lines.l_orderkey == visits.o_orderkey).selectExpr(
+        "l_orderkey * 8 + l_linenumber AS SessionID",
+        "o_custkey AS PlayerID",
+        "int(l_suppkey % 5) AS PropertyID",
+        "CASE flag WHEN ascii('A') THEN 'Slots' WHEN ascii('N') THEN 'Table' ELSE 'Poker' END AS GameCategory",
+        "date(o_orderdate + make_dt_interval(0, int(l_partkey % 24) - 6)) AS GamingDate",
+        "o_orderdate + make_dt_interval(0, int(l_partkey % 24)) AS StartTime",
+        "o_orderdate + make_dt_interval(0, int(l_partkey % 24), int(l_quantity * 8)) AS EndTime",
+        "int(l_quantity * 8) AS MinutesPlayed",
+        "price AS CashIn",
+        "CAST(price - CAST(price * (rate - 0.03BD) AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS CashOut",
+        "price AS CoinInOrAction",
+        "CAST(l_quantity AS DECIMAL(18,2)) AS AverageBet",
+        "CAST(price * rate AS DECIMAL(18,2)) AS TheoreticalWin",
+        "CAST(price * (rate - 0.03BD) AS DECIMAL(18,2)) AS ActualWin",
+        "int(l_partkey % 500) AS PointsAwarded",
     )
 
 
 def jackpot(sessions: DataFrame) -> DataFrame:
-    key = F.col("SessionID")
-    day = F.date_add("GamingDate", _int(key % 2))
-    return sessions.where((F.col("GameCategory") == "Poker") & (F.col("MinutesPlayed") >= 360)).select(
-        key.alias("jackpotid"),
-        (key % 1000).alias("assetid"),
-        F.when(key % 23 != 0, F.col("PlayerID")).alias("playerid"),
-        _plus_hours(day.cast("timestamp_ntz"), F.lit(12)).alias("jackpotdatetime"),
-        F.col("CashIn").alias("amount"),
-        F.lit("Progressive").alias("jackpottype"),
+    """Long poker sessions win; odd ids win on the day after, without a session."""
+    return sessions.where("GameCategory = 'Poker' AND MinutesPlayed >= 360").selectExpr(
+        "SessionID AS jackpotid",
+        "SessionID % 1000 AS assetid",
+        "IF(SessionID % 23 = 0, NULL, PlayerID) AS playerid",
+        "CAST(date_add(GamingDate, int(SessionID % 2)) AS TIMESTAMP_NTZ) + make_dt_interval(0, 12) AS jackpotdatetime",
+        "CashIn AS amount",
+        "'Progressive' AS jackpottype",
     )
 
 
 def check(orders: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    closed = _plus_hours(F.col("o_orderdate"), key % 24)
-    total = F.col("o_totalprice").cast(MONEY)
-    return orders.select(
-        key.alias("check_id"),
-        _int(key % 25).alias("outlet_id"),
-        F.when(key % 4 != 0, F.col("o_custkey") + MEMBER_OFFSET).alias("member_id"),
-        F.col("o_orderdate").alias("opened_at"),
-        closed.alias("closed_at"),
-        _int(key % 6 + 1).alias("guest_count"),
-        total.alias("subtotal"),
-        total.alias("total_amount"),
-        F.when(F.col("o_orderstatus") == "O", "Open").otherwise("Closed").alias("check_status"),
+    return orders.selectExpr(
+        "o_orderkey AS check_id",
+        "int(o_orderkey % 25) AS outlet_id",
+        "IF(o_orderkey % 4 = 0, NULL, o_custkey + 100000) AS member_id",
+        "o_orderdate AS opened_at",
+        "o_orderdate + make_dt_interval(0, int(o_orderkey % 24)) AS closed_at",
+        "int(o_orderkey % 6 + 1) AS guest_count",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS subtotal",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount",
+        "IF(o_orderstatus = 'O', 'Open', 'Closed') AS check_status",
     )
 
 
 def reservation(orders: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    arrival = F.col("o_orderdate").cast("date")
-    status = F.when(key % 4 == 0, "Cancelled").when(key % 4 == 1, "InHouse").otherwise("CheckedOut")
-    return orders.where(F.col("o_orderpriority") == "5-LOW").select(
-        key.alias("reservation_id"),
-        F.when(key % 19 != 0, F.col("o_custkey")).alias("player_id"),
-        _int(key % 5).alias("property_id"),
-        arrival.alias("arrival_date"),
-        F.date_add(arrival, _int(key % 13 + 2)).alias("departure_date"),
-        (key % 200 + 100).cast(MONEY).alias("nightly_rate"),
-        F.when(key % 17 != 0, key % 3 == 0).alias("is_comp"),
-        status.alias("reservation_status"),
+    return orders.where("o_orderpriority = '5-LOW'").selectExpr(
+        "o_orderkey AS reservation_id",
+        "IF(o_orderkey % 19 = 0, NULL, o_custkey) AS player_id",
+        "int(o_orderkey % 5) AS property_id",
+        "date(o_orderdate) AS arrival_date",
+        "date_add(date(o_orderdate), int(o_orderkey % 13 + 2)) AS departure_date",
+        "CAST(o_orderkey % 200 + 100 AS DECIMAL(18,2)) AS nightly_rate",
+        "IF(o_orderkey % 17 = 0, NULL, o_orderkey % 3 = 0) AS is_comp",
+        "CASE o_orderkey % 4 WHEN 0 THEN 'Cancelled' WHEN 1 THEN 'InHouse' ELSE 'CheckedOut' END AS reservation_status",
     )
 
 
 def comp(orders: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    return orders.where(F.col("o_orderpriority").isin("2-HIGH", "3-MEDIUM")).select(
-        key.alias("comp_id"),
-        (F.col("o_custkey") + MEMBER_OFFSET).alias("member_id"),
-        _int(key % 5).alias("property_id"),
-        F.col("o_orderdate").alias("comp_date_time"),
-        F.when(key % 2 == 0, "Dining").otherwise("FreePlay").alias("comp_category"),
-        (key * 7 % 490 + 10).cast(MONEY).alias("comp_amount"),
-        (key % 40).alias("authorized_by_employee_id"),
+    return orders.where("o_orderpriority IN ('2-HIGH', '3-MEDIUM')").selectExpr(
+        "o_orderkey AS comp_id",
+        "o_custkey + 100000 AS member_id",
+        "int(o_orderkey % 5) AS property_id",
+        "o_orderdate AS comp_date_time",
+        "IF(o_orderkey % 2 = 0, 'Dining', 'FreePlay') AS comp_category",
+        "CAST(o_orderkey * 7 % 490 + 10 AS DECIMAL(18,2)) AS comp_amount",
+        "o_orderkey % 40 AS authorized_by_employee_id",
     )
 
 
 def tier_history(orders: DataFrame, members: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    moves = orders.where(F.col("o_orderpriority") == "1-URGENT").select(
-        key.alias("tier_history_id"),
-        (F.col("o_custkey") + MEMBER_OFFSET).alias("member_id"),
-        _int(key % 5 + 1).alias("old_tier_id"),
-        F.expr("int((o_orderkey div 5) % 5 + 1)").alias("new_tier_id"),
-        F.col("o_orderdate").cast("date").alias("change_date"),
-        F.lit("Review").alias("change_reason"),
+    """Tier moves on urgent orders, plus an enrolment row without an old tier per member."""
+    moves = orders.where("o_orderpriority = '1-URGENT'").selectExpr(
+        "o_orderkey AS tier_history_id",
+        "o_custkey + 100000 AS member_id",
+        "int(o_orderkey % 5 + 1) AS old_tier_id",
+        "int(o_orderkey div 5 % 5 + 1) AS new_tier_id",
+        "date(o_orderdate) AS change_date",
+        "'Review' AS change_reason",
     )
-    enrolments = members.select(
-        (-F.col("member_id")).alias("tier_history_id"),
-        "member_id",
-        F.lit(None).cast("int").alias("old_tier_id"),
-        F.lit(1).alias("new_tier_id"),
-        F.col("enroll_date").alias("change_date"),
-        F.lit("Enrollment").alias("change_reason"),
+    enrolments = members.selectExpr(
+        "-member_id AS tier_history_id", "member_id", "CAST(NULL AS INT) AS old_tier_id", "1 AS new_tier_id",
+        "enroll_date AS change_date", "'Enrollment' AS change_reason",
     )
     return moves.unionByName(enrolments)
 
 
 def outlet(nation: DataFrame) -> DataFrame:
-    key = F.col("n_nationkey")
-    kind = F.when(key % 3 == 0, "Restaurant").when(key % 3 == 1, "Bar").otherwise("Cafe")
-    return nation.select(
-        key.alias("outletid"), F.col("n_regionkey").alias("propertyid"), F.col("n_name").alias("outletname"),
-        kind.alias("outlettype"),
+    return nation.selectExpr(
+        "n_nationkey AS outletid",
+        "n_regionkey AS propertyid",
+        "n_name AS outletname",
+        "CASE n_nationkey % 3 WHEN 0 THEN 'Restaurant' WHEN 1 THEN 'Bar' ELSE 'Cafe' END AS outlettype",
     )
 
 
 def property_(region: DataFrame) -> DataFrame:
-    return region.select(
-        F.col("r_regionkey").alias("property_id"),
-        F.substring("r_name", 1, 3).alias("property_code"),
-        F.col("r_name").alias("property_name"),
+    return region.selectExpr(
+        "r_regionkey AS property_id", "substring(r_name, 1, 3) AS property_code", "r_name AS property_name"
     )
 
 
-def landed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eleven landed tables, each a lazy view over the sample tables in ``sf_dir``."""
+def landed_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """The eleven landed tables over the sample tables in ``sf_dir``, each built on first use."""
     reg = registry(sf_dir)
-    region, nation, customer, orders, lineitem = (
-        read_source(spark, reg, t) for t in ("region", "nation", "customer", "orders", "lineitem")
-    )
-    sessions = player_session(lineitem, orders)
-    members = member(customer)
-    return {
-        "player": player(customer, nation),
-        "player_session": sessions,
-        "jackpot": jackpot(sessions),
-        "member": members,
-        "tier": tier(customer),
-        "tier_history": tier_history(orders, members),
-        "comp": comp(orders),
-        "check": check(orders),
-        "outlet": outlet(nation),
-        "reservation": reservation(orders),
-        "property": property_(region),
-    }
+    given = LazyTables({
+        t: lambda t=t: read_source(spark, reg, t) for t in ("region", "nation", "customer", "orders", "lineitem")
+    })
+    landed = LazyTables({
+        "player": lambda: player(given["customer"], given["nation"]),
+        "player_session": lambda: player_session(given["lineitem"], given["orders"]),
+        "jackpot": lambda: jackpot(landed["player_session"]),
+        "member": lambda: member(given["customer"]),
+        "tier": lambda: tier(given["customer"]),
+        "tier_history": lambda: tier_history(given["orders"], landed["member"]),
+        "comp": lambda: comp(given["orders"]),
+        "check": lambda: check(given["orders"]),
+        "outlet": lambda: outlet(given["nation"]),
+        "reservation": lambda: reservation(given["orders"]),
+        "property": lambda: property_(given["region"]),
+    })
+    return landed

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from accolade.functions.dates import business_day, days_between
 from accolade.policy import Policy
-from accolade.sources.readers import live_rows, select_normalized
+from accolade.sources.readers import LazyTables, live_rows, select_normalized
 
 # The columns of each landed table that the analytics use.
 SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -108,9 +108,19 @@ def stage(name: str, raw: DataFrame, policy: Policy) -> DataFrame:
     return shaper(landed, policy) if shaper else landed
 
 
-def stage_all(raw: Mapping[str, DataFrame], policy: Policy) -> dict[str, DataFrame]:
-    """All staging views; raises if a landed table is missing."""
+def stage_all(raw: Mapping[str, DataFrame], policy: Policy) -> LazyTables:
+    """All staging views, lazily; raises if a landed table is missing."""
     missing = set(SOURCE_COLUMNS) - set(raw)
     if missing:
         raise KeyError(f"landed tables missing: {', '.join(sorted(missing))}")
-    return {name: stage(name, raw[name], policy) for name in SOURCE_COLUMNS}
+    return LazyTables({name: lambda name=name: stage(name, raw[name], policy) for name in SOURCE_COLUMNS})
+
+
+# The source system each landed table belongs to; ``ref`` has no freshness rule.
+SOURCE_SYSTEMS: dict[str, str] = {
+    "player": "cms", "player_session": "cms", "jackpot": "cms",
+    "member": "loy", "tier": "loy", "tier_history": "loy", "comp": "loy",
+    "check": "pos", "outlet": "pos",
+    "reservation": "hotel",
+    "property": "ref",
+}
