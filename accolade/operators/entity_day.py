@@ -79,15 +79,39 @@ def running_totals(
     return daily.withColumns({**totals, prior: F.lag(day).over(by_day)})
 
 
-def month_streaks(active_days: DataFrame, key: str = "player_id", day: str = "activity_date") -> DataFrame:
-    """Consecutive active calendar months: one row per entity and month.
+def with_streaks(
+    daily: DataFrame, active: Column, key: str = "player_id", day: str = "activity_date", into: str = "streak_months"
+) -> DataFrame:
+    """Add the length of the run of active months, on the first active day of each month.
 
-    Months of one run share ``month index - position``; the streak is the position in the run.
+    Other rows get NULL.  Only running windows over (key, day) are used, so next to
+    ``running_totals`` this costs neither an exchange nor a sort.
     """
-    months = active_days.groupBy(key, month_start(F.col(day)).alias("visit_month")).agg(
-        F.min(day).alias("first_visit_in_month")
+    by_day = Window.partitionBy(key).orderBy(day)
+    month = month_index(F.col(day))
+    seen = F.last(F.when(active, F.col(day)), ignorenulls=True).over(
+        by_day.rowsBetween(Window.unboundedPreceding, -1)
+    )
+    months_since = month - month_index(F.col("_seen"))  # NULL before the first active day
+    first_in_month = active & (F.col("_seen").isNull() | (months_since > 0))
+    run_starts = active & (F.col("_seen").isNull() | (months_since > 1))
+    run_start = F.max(F.when(run_starts, month)).over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (
+        daily.withColumn("_seen", seen)
+        .withColumn("_run_start", run_start)
+        .withColumn(into, F.when(first_in_month, month - F.col("_run_start") + 1))
+        .drop("_seen", "_run_start")
+    )
+
+
+def month_streaks(
+    daily: DataFrame, active: Column, key: str = "player_id", day: str = "activity_date"
+) -> DataFrame:
+    """Consecutive active calendar months: one row per entity and month with its streak so far."""
+    return (
+        with_streaks(daily, active, key, day)
+        .where(F.col("streak_months").isNotNull())
+        .select(
+            key, month_start(F.col(day)).alias("visit_month"), F.col(day).alias("first_visit_in_month"), "streak_months"
+        )
     )
-    position = F.row_number().over(Window.partitionBy(key).orderBy("visit_month"))
-    runs = months.withColumn("run", month_index(F.col("visit_month")) - position)
-    in_run = Window.partitionBy(key, "run").orderBy("visit_month")
-    return runs.withColumn("streak_months", F.row_number().over(in_run)).drop("run")

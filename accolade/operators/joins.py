@@ -15,27 +15,39 @@ def hint_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else None
 
 
+def hot_keys(facts: DataFrame, key: str, share: float) -> list:
+    """Key values that hold more than ``share`` of the rows.
+
+    At most ``1 / share`` values can, so the list handed to the driver is bounded whatever
+    the data.  Only the key column is read, and it is counted before the exchange.
+    """
+    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    bar = counts.agg(F.sum("n") * share)
+    return [r[0] for r in counts.where(F.col("n") > bar.scalar()).select(key).collect()]
+
+
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", hot_share: float = 0.001
 ) -> DataFrame:
     """Fact-to-lookup equi-join that survives a key holding a large share of the facts.
 
-    Keys above ``hot_share`` of the rows are joined by broadcast: there can be at most
-    ``1 / hot_share`` of them, and the lookup is unique per key, so the broadcast side is
-    bounded whatever the data.  All other facts take the normal exchange.  ``how`` is
-    ``inner`` or ``left``.  The facts are scanned once more, for their key column only.
+    Rows of hot keys are joined by broadcast: ``lookup`` is unique per key, so that side has
+    at most ``1 / hot_share`` rows.  All other facts take the normal exchange.  ``how`` is
+    ``inner`` or ``left``; in a left join, facts without a key match nothing and skip the
+    exchange too.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    known = facts.where(F.col(key).isNotNull())
-    counts = known.groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg((F.sum("n") * hot_share).alias("bar"))
-    hot = F.broadcast(counts.join(F.broadcast(total), F.col("n") > F.col("bar")).select(key))
-    cold_part = known.join(hot, key, "left_anti").join(lookup, key, how)
-    hot_lookup = F.broadcast(lookup.join(hot, key, "left_semi"))
-    if how == "inner":
-        hot_facts = known.join(hot, key, "left_semi")
-    else:  # rows without a key match nothing; they need no exchange either
-        marked = facts.join(hot.withColumn("_hot", F.lit(True)), key, "left")
-        hot_facts = marked.where(F.col(key).isNull() | F.col("_hot")).drop("_hot")
-    return cold_part.unionByName(hot_facts.join(hot_lookup, key, how))
+    k = F.col(key)
+    known = facts.where(k.isNotNull())
+    hot = hot_keys(facts, key, hot_share)
+    if hot:
+        is_hot = k.isin(hot)
+        joined = known.where(~is_hot).join(lookup, key, how).unionByName(
+            known.where(is_hot).join(F.broadcast(lookup.where(is_hot)), key, how)
+        )
+    else:
+        joined = known.join(lookup, key, how)
+    if how == "left":
+        joined = joined.unionByName(facts.where(k.isNull()), allowMissingColumns=True)
+    return joined

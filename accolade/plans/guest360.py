@@ -39,24 +39,6 @@ def guest_snapshot(activity: DataFrame, as_of: dt.date, policy: Policy) -> DataF
     return with_anomaly(grouped, policy)
 
 
-def gaming_preferences(sessions: DataFrame, as_of: dt.date, policy: Policy) -> DataFrame:
-    """Favourite game over the trailing year and the property played at today, in one scan."""
-    recent = sessions.where(within_trailing(F.col("gaming_date"), as_of, policy.trailing_days))
-    last_today = F.max(
-        F.when(F.col("gaming_date") == F.lit(as_of), F.struct("end_time", "session_id", "property_id"))
-    )
-    per_game = recent.groupBy("player_id", "game_category").agg(
-        F.sum("minutes_played").alias("minutes"), last_today.alias("last_today")
-    )
-    rank = F.struct(
-        F.col("minutes").isNull(), -F.col("minutes"), F.col("game_category").isNull(), F.col("game_category").alias("game")
-    )
-    return per_game.groupBy("player_id").agg(
-        F.min(rank)["game"].alias("favorite_game_category"),
-        F.max("last_today")["property_id"].alias("playing_property_id"),
-    )
-
-
 def favorite_game(sessions: DataFrame, as_of: dt.date, policy: Policy) -> DataFrame:
     """Game category with the most minutes over the trailing year."""
     recent = sessions.where(within_trailing(F.col("gaming_date"), as_of, policy.trailing_days))
@@ -69,7 +51,8 @@ def favorite_game(sessions: DataFrame, as_of: dt.date, policy: Policy) -> DataFr
 def favorite_outlet(checks: DataFrame, members: DataFrame, outlets: DataFrame) -> DataFrame:
     """Outlet with the highest closed spend per guest, over all time.
 
-    Spend is summed per member and outlet first: the joins then see one row per pair.
+    Spend is summed per member and outlet first: the joins then see one row per pair.  One
+    exchange on the guest then serves both remaining groupings and the join to the guest.
     """
     paid = checks.where((F.col("check_status") == P.CLOSED_CHECK) & F.col("member_id").isNotNull())
     per_outlet = paid.groupBy("member_id", "outlet_id").agg(F.sum("subtotal").alias("spend"))
@@ -82,6 +65,7 @@ def favorite_outlet(checks: DataFrame, members: DataFrame, outlets: DataFrame) -
     spend = (
         per_outlet.join(named, "outlet_id")
         .join(members.select("member_id", "player_id"), "member_id")
+        .repartition("player_id")
         .groupBy("player_id", *values)
         .agg(F.sum("spend").alias("spend"))
     )
@@ -111,7 +95,8 @@ def guest_profile(
     """The 360 together with the gaming signals, one row per guest.
 
     Every large side is grouped by guest beforehand, so the star of left joins runs on one
-    common partitioning; tiers and properties are small and sized by Spark.
+    common partitioning; tiers and properties are plain joins whose size Spark checks before
+    it broadcasts them.
     """
     today = F.lit(as_of)
     members = staged["member"].select(
@@ -125,6 +110,8 @@ def guest_profile(
     currents = staged["property"].select(
         F.col("property_id").alias("current_property_id"), F.col("property_name").alias("current_property_name")
     )
+    sessions = staged["player_session"]
+    playing = property_today(sessions, as_of).withColumnRenamed("property_id", "playing_property_id")
     stays = in_house(staged["reservation"], as_of).withColumnRenamed("property_id", "staying_property_id").withColumn(
         "staying", F.lit(True)
     )
@@ -132,7 +119,8 @@ def guest_profile(
         staged["player"].drop("created_at")
         .join(members, "player_id", "left")
         .join(guest_snapshot(activity, as_of, policy), "player_id", "left")
-        .join(gaming_preferences(staged["player_session"], as_of, policy), "player_id", "left")
+        .join(favorite_game(sessions, as_of, policy), "player_id", "left")
+        .join(playing, "player_id", "left")
         .join(favorite_outlet(staged["check"], staged["member"], staged["outlet"]), "player_id", "left")
         .join(stays, "player_id", "left")
         .join(tiers, "tier_id", "left")

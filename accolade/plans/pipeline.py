@@ -16,7 +16,6 @@ from accolade.operators import events as EV
 from accolade.operators import quality as Q
 from accolade.operators import rules as RU
 from accolade.operators import signals as SG
-from accolade.operators.joins import lookup_join
 from accolade.plans import guest360 as G
 from accolade.plans import recommend as RE
 from accolade.policy import Policy
@@ -41,7 +40,7 @@ INTERMEDIATE = (
     "guest_activity_daily", "guest_cumulative_daily", "guest_visit_streaks", "guest_calendar_events",
     "guest_metric_events", "guest_rg_signals", "guest_comp_budget",
 )
-MARTS = ("guest_360", "guest_milestones", "recommendations", "daily_worklist")
+MARTS = ("guest_profile", "guest_360", "guest_milestones", "recommendations", "daily_worklist")
 
 
 class Recognition:
@@ -120,58 +119,60 @@ class Recognition:
 
     @cached_property
     def streaks(self) -> DataFrame:
-        visits = self.activity.where(F.col("visit_flag") == 1).select("player_id", "activity_date")
-        return self._keep(ED.month_streaks(visits), "guest_visit_streaks")
+        return self._keep(ED.month_streaks(self.activity, F.col("visit_flag") == 1), "guest_visit_streaks")
 
     @cached_property
     def calendar(self) -> DataFrame:
-        people = self.staged["player"].select("player_id", "date_of_birth").join(
-            self.staged["member"].select("player_id", "enroll_date"), "player_id", "left"
-        )
-        events = EV.calendar_events(people, self.as_of, self.policy.calendar_window_days)
-        return self._keep(events, "guest_calendar_events")
-
-    def _streak_events(self) -> DataFrame:
-        n = F.col("streak_months")
-        return self.streaks.select(
-            *EV.event_columns(F.col("player_id"), F.col("first_visit_in_month"), "consecutive_visit_months", n, n - 1)
-        )
-
-    def _comeback_events(self) -> DataFrame:
-        """Visits after a gap; the gap counts from any earlier active day."""
-        gap = F.datediff("activity_date", "prior_activity_date")
-        back = self.cumulative.where((F.col("visit_flag") == 1) & F.col("prior_activity_date").isNotNull())
-        return back.select(
-            *EV.event_columns(F.col("player_id"), F.col("activity_date"), "days_since_prior_visit", gap, F.lit(0))
-        )
-
-    def _big_win_events(self) -> DataFrame:
-        won = F.col("jackpot_amount")
-        return self.activity.where(won > 0).select(
-            *EV.event_columns(F.col("player_id"), F.col("activity_date"), "daily_jackpot_total", won, F.lit(0))
-        )
+        """Birthdays come from the guests alone; anniversaries are cut to the window before
+        they are matched to live guests."""
+        guests, members = self.staged["player"], self.staged["member"]
+        near = (self.as_of, self.policy.calendar_window_days)
+        birthdays = EV.birthday_events(guests, *near)
+        anniversaries = EV.membership_events(members, *near).join(guests.select("player_id"), "player_id", "left_semi")
+        return self._keep(EV.metric_events(birthdays, anniversaries), "guest_calendar_events")
+
+    def _day_events(self) -> DataFrame:
+        """Running totals, streaks, comebacks and big wins: all from one pass over the guest's days.
+
+        The gap of a comeback counts from any earlier active day.
+        """
+        col, day = F.col, F.col("activity_date")
+        visited = col("visit_flag") == 1
+        gap, streak = F.datediff(day, "prior_activity_date"), col("streak_months")
+        history = ED.with_streaks(self.cumulative, visited)
+        return EV.emit(history, col("player_id"), {
+            **EV.cumulative_candidates(self.policy.cumulative_metrics, "activity_date"),
+            "streak": (streak.isNotNull(), EV.event("consecutive_visit_months", day, streak, streak - 1)),
+            "comeback": (
+                visited & col("prior_activity_date").isNotNull(),
+                EV.event("days_since_prior_visit", day, gap, F.lit(0)),
+            ),
+            "win": (
+                col("jackpot_amount") > 0, EV.event("daily_jackpot_total", day, col("jackpot_amount"), F.lit(0))
+            ),
+        })
 
     def _tier_events(self) -> DataFrame:
+        """Upgrades; equal moves of one member and day travel as one counted row, so a member with
+        a third of the history enters the join as at most a few rows per day."""
         old, new = F.col("old_tier_id"), F.col("new_tier_id")
-        moves = self.staged["tier_history"].where(old.isNotNull() & (new > old)).select(
-            "member_id", "old_tier_id", "new_tier_id", "change_date"
+        moves = (
+            self.staged["tier_history"].where(old.isNotNull() & (new > old))
+            .groupBy("member_id", "change_date", "old_tier_id", "new_tier_id")
+            .agg(F.count("*").alias("n"))
         )
-        return lookup_join(moves, self._member_ids, "member_id").select(
-            *EV.event_columns(F.col("player_id"), F.col("change_date"), "tier_level", new, old)
+        return (
+            moves.join(self._member_ids, "member_id")
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
+            .select(*EV.event_columns(F.col("player_id"), F.col("change_date"), "tier_level", new, old))
         )
 
     @cached_property
     def metric_events(self) -> DataFrame:
         """The one long table every milestone is looked up in."""
-        events = EV.metric_events(
-            EV.unpivot_cumulative(self.cumulative, self.policy.cumulative_metrics),
-            self._streak_events(),
-            self._comeback_events(),
-            self._big_win_events(),
-            self._tier_events(),
-            self.calendar,
+        return self._keep(
+            EV.metric_events(self._day_events(), self._tier_events(), self.calendar), "guest_metric_events"
         )
-        return self._keep(events, "guest_metric_events")
 
     @cached_property
     def rg_signals(self) -> DataFrame:
@@ -191,7 +192,9 @@ class Recognition:
 
     @cached_property
     def profile(self) -> DataFrame:
-        return G.guest_profile(self.staged, self.activity, self.as_of, self.policy)
+        """Guest 360 and gaming signals side by side, as the recommendations need them."""
+        profile = G.guest_profile(self.staged, self.activity, self.as_of, self.policy)
+        return self._keep(profile, "guest_profile")
 
     @cached_property
     def guest_360(self) -> DataFrame:

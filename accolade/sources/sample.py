@@ -59,13 +59,11 @@ def member(customer: DataFrame) -> DataFrame:
     )
 
 
-def tier(customer: DataFrame) -> DataFrame:
-    """Tiers that occur among the guests, with their fixed names and terms."""
+def tier(region: DataFrame) -> DataFrame:
+    """One tier per region row, with the fixed names and terms."""
     terms = ", ".join(f"named_struct('n', '{n}', 'c', {c}, 'm', double({m}))" for n, c, m in TIERS)
     return (
-        customer.selectExpr("int(c_custkey % 5 + 1) AS tier_id")
-        .distinct()
-        .selectExpr("tier_id", f"element_at(array({terms}), tier_id) AS t")
+        region.selectExpr("r_regionkey + 1 AS tier_id", f"element_at(array({terms}), r_regionkey + 1) AS t")
         .selectExpr("tier_id", "t.n AS tier_name", "t.c AS tier_credits_required", "t.m AS point_multiplier")
     )
 
@@ -200,7 +198,7 @@ def landed_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
         "player_session": lambda: player_session(given["lineitem"], given["orders"]),
         "jackpot": lambda: jackpot(landed["player_session"]),
         "member": lambda: member(given["customer"]),
-        "tier": lambda: tier(given["customer"]),
+        "tier": lambda: tier(given["region"]),
         "tier_history": lambda: tier_history(given["orders"], landed["member"]),
         "comp": lambda: comp(given["orders"]),
         "check": lambda: check(given["orders"]),

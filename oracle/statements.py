@@ -70,7 +70,7 @@ CTES: dict[str, str] = {
         SELECT t.* FROM (VALUES (1, 'Silver', 0, 1.0), (2, 'Gold', 1000, 1.25), (3, 'Platinum', 5000, 1.5),
                                 (4, 'Diamond', 20000, 2.0), (5, 'Noir', 75000, 3.0))
                    t(tier_id, tier_name, tier_credits_required, point_multiplier)
-        WHERE tier_id IN (SELECT c_custkey % 5 + 1 FROM customer)""",
+        JOIN region ON r_regionkey + 1 = tier_id""",
     "q_line": """
         SELECT l_orderkey, l_linenumber, max(l_suppkey) AS supp, max(l_returnflag) AS flag, max(l_partkey) AS part,
                max(l_quantity) AS qty, max(CAST(l_extendedprice AS DECIMAL(18,2))) AS price,
