@@ -31,8 +31,20 @@ def lazily(df: DataFrame, label: str) -> DataFrame:
 
 
 def cutting(*labels: str) -> Keep:
-    """Write the named tables to the shared folder and go on from there."""
-    return lambda df, label: cut(df, label) if label in labels else df
+    """Write the named tables to the shared folder and go on from there.
+
+    The entity-days are bucketed by guest: that exchange is paid once, and the running
+    windows, the snapshot and the signals all read their buckets in place.
+    """
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        if label not in labels:
+            return df
+        if label == "guest_activity_daily":
+            return cut(df, label, "player_id", ("player_id", "activity_date"))
+        return cut(df, label)
+
+    return keep
 
 
 # Tables read by several later ones or by consumers, and the schema each belongs to.

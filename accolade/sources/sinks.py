@@ -62,12 +62,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="accolade-"))
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+def cut(df: DataFrame, label: str, bucket_by: str | None = None, sort_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The lineage ends at a columnar table that survives lost executors, and each reader of it
-    prunes to its own columns.
+    prunes to its own columns.  With ``bucket_by``, later groupings, windows and joins on
+    that key need no exchange.  The table's catalog entry is dropped again; its files stay.
     """
-    path = f"{shared_folder(df.sparkSession)}/accolade/{label}-{uuid.uuid4().hex}"
-    write_table(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    name = f"accolade_{label}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/accolade/{name}"
+    if not bucket_by:
+        write_table(df, path)
+        return spark.read.schema(df.schema).parquet(path)
+    stored = save_table(df, name, bucket_by, sort_by, path=path)
+    spark.sql(f"DROP TABLE {name}")
+    return stored

@@ -63,18 +63,9 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> str | None:
 
 
 def session():
-    from pyspark.sql import SparkSession
-
-    spark = (
-        SparkSession.builder.master("local[8]").appName("accolade-compare")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    from accolade.session import local_session
+
+    return local_session(app="accolade-compare")
 
 
 def main(argv: list[str]) -> int:
