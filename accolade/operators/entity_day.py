@@ -14,20 +14,21 @@ from accolade.functions.dates import month_index, month_start
 
 @dataclass(frozen=True)
 class Contribution:
-    """What one source's row adds: the entity, the day, and the measures it knows."""
+    """What one source's row adds: the entity, the day, and the measures it knows, as SQL
+    expressions on the row."""
 
     rows: DataFrame
-    key: Column
-    day: Column
-    measures: Mapping[str, Column]
+    key: str
+    day: str
+    measures: Mapping[str, str]
 
 
-def zero_filled(measures: Sequence[str], known: Mapping[str, Column]) -> list[Column]:
-    """One column per registered measure; 0 where the source has none or holds NULL."""
+def zero_filled(measures: Sequence[str], known: Mapping[str, str]) -> list[str]:
+    """One SQL column per registered measure; 0 where the source has none or holds NULL."""
     unknown = set(known) - set(measures)
     if unknown:
         raise ValueError(f"measure(s) not registered: {', '.join(sorted(unknown))}")
-    return [(F.coalesce(known[m], F.lit(0)) if m in known else F.lit(0)).alias(m) for m in measures]
+    return [f"coalesce({known[m]}, 0) AS {m}" if m in known else f"0 AS {m}" for m in measures]
 
 
 def entity_day(
@@ -47,7 +48,7 @@ def entity_day(
     stacked = reduce(
         DataFrame.unionByName,
         [
-            c.rows.select(c.key.alias(key), c.day.alias(day), *zero_filled(measures, c.measures))
+            c.rows.selectExpr(f"{c.key} AS {key}", f"{c.day} AS {day}", *zero_filled(measures, c.measures))
             for c in contributions
         ],
     )
@@ -57,8 +58,7 @@ def entity_day(
 
 def with_activity_flag(daily: DataFrame, flag_measures: Sequence[str], flag: str = "visit_flag") -> DataFrame:
     """Add a 0/1 flag: did any of the flag measures move?"""
-    moved = reduce(lambda a, b: a + b, [F.col(m) for m in flag_measures]) > 0
-    return daily.withColumn(flag, F.when(moved, 1).otherwise(0))
+    return daily.withColumn(flag, F.expr(f"int({' + '.join(flag_measures)} > 0)"))
 
 
 def running_totals(

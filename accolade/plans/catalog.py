@@ -38,7 +38,7 @@ AS_OF = sample.AS_OF
 FRESHNESS_NOW = dt.datetime(2024, 1, 31, 0, 0, 0)
 LISTED_PROPERTY = "EUROPE"
 
-# The entity-days feed five later tables: they are written once and read back.
+# The entity-days feed several later tables: they are written once and read back.
 CUT_LABELS = ("guest_activity_daily",)
 
 
@@ -161,8 +161,8 @@ def filter_status_in(run: Recognition) -> DataFrame:
 
 def zero_fill(run: Recognition) -> DataFrame:
     """Checks as zero-filled measure rows."""
-    known = {"dining_checks": F.lit(1), "dining_spend": F.col("subtotal")}
-    return run.staged["check"].select("check_id", *zero_filled(run.policy.activity_measures, known))
+    known = {"dining_checks": "1", "dining_spend": "subtotal"}
+    return run.staged["check"].selectExpr("check_id", *zero_filled(run.policy.activity_measures, known))
 
 
 def business_day(run: Recognition) -> DataFrame:

@@ -97,28 +97,24 @@ class Recognition:
     @cached_property
     def activity(self) -> DataFrame:
         """One row per guest and business day with gaming, dining, hotel or jackpot activity."""
-        col, one = F.col, F.lit(1)
         stays = self.staged["reservation"].where(
-            col("player_id").isNotNull() & col("reservation_status").isin(*P.STAY_STATUSES)
+            F.col("player_id").isNotNull() & F.col("reservation_status").isin(*P.STAY_STATUSES)
         )
-        room_revenue = F.when(~col("is_comp"), col("nights") * col("nightly_rate"))
         sources = [
-            ED.Contribution(self.staged["player_session"], col("player_id"), col("gaming_date"), {
-                "gaming_sessions": one,
-                "gaming_minutes": col("minutes_played"),
-                "theo_win": col("theoretical_win"),
-                "actual_win": col("actual_win"),
-                "cash_in": col("cash_in"),
-                "points_earned": col("points_awarded"),
+            ED.Contribution(self.staged["player_session"], "player_id", "gaming_date", {
+                "gaming_sessions": "1",
+                "gaming_minutes": "minutes_played",
+                "theo_win": "theoretical_win",
+                "actual_win": "actual_win",
+                "cash_in": "cash_in",
+                "points_earned": "points_awarded",
             }),
-            ED.Contribution(self._dining_days(), col("player_id"), col("day"), {
-                "dining_checks": col("checks"), "dining_spend": col("spend"),
+            ED.Contribution(self._dining_days(), "player_id", "day", {"dining_checks": "checks", "dining_spend": "spend"}),
+            ED.Contribution(stays, "player_id", "arrival_date", {
+                "hotel_stays": "1", "hotel_nights": "nights", "hotel_revenue": "IF(is_comp, NULL, nights * nightly_rate)",
             }),
-            ED.Contribution(stays, col("player_id"), col("arrival_date"), {
-                "hotel_stays": one, "hotel_nights": col("nights"), "hotel_revenue": room_revenue,
-            }),
-            ED.Contribution(self.staged["jackpot"], col("player_id"), col("gaming_date"), {
-                "jackpot_count": one, "jackpot_amount": col("jackpot_amount"),
+            ED.Contribution(self.staged["jackpot"], "player_id", "gaming_date", {
+                "jackpot_count": "1", "jackpot_amount": "jackpot_amount",
             }),
         ]
         daily = ED.entity_day(sources, self.policy.activity_measures, self.policy.visit_measures)

@@ -22,6 +22,7 @@ def local_session(cpus: int = 8, app: str = "accolade") -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per expression
     )
     for key, value in SCALE_SETTINGS.items():
         builder = builder.config(key, value)

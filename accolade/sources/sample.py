@@ -73,16 +73,15 @@ def player_session(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
     The one-letter flag is compared by its code, which keeps the grouping a hash aggregate.
     """
+    kept = ("l_suppkey", "flag", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
     lines = (
-        lineitem.selectExpr(
-            "l_orderkey", "l_linenumber", "l_suppkey", "ascii(l_returnflag) AS flag", "l_partkey", "l_quantity",
-            "CAST(l_extendedprice AS DECIMAL(18,2)) AS price", "CAST(l_discount AS DECIMAL(4,2)) AS rate",
-        )
+        lineitem.selectExpr("l_orderkey", "l_linenumber", "ascii(l_returnflag) AS flag", *[c for c in kept if c != "flag"])
         .groupBy("l_orderkey", "l_linenumber")
-        .agg({c: "max" for c in ("l_suppkey", "flag", "l_partkey", "l_quantity", "price", "rate")})
-        .withColumnsRenamed({
-            f"max({c})": c for c in ("l_suppkey", "flag", "l_partkey", "l_quantity", "price", "rate")
-        })
+        .agg({c: "max" for c in kept})
+        .withColumnsRenamed({f"max({c})": c for c in kept})
+        .selectExpr(
+            "*", "CAST(l_extendedprice AS DECIMAL(18,2)) AS price", "CAST(l_discount AS DECIMAL(4,2)) AS rate"
+        )
     )
     visits = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     return lines.join(visits, lines.l_orderkey == visits.o_orderkey).selectExpr(
