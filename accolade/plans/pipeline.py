@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accolade import policy as P
-from accolade.functions.dates import business_day, resolve_as_of
+from accolade.functions.dates import resolve_as_of
 from accolade.operators import entity_day as ED
 from accolade.operators import events as EV
 from accolade.operators import quality as Q
@@ -18,6 +18,7 @@ from accolade.operators import rules as RU
 from accolade.operators import signals as SG
 from accolade.plans import guest360 as G
 from accolade.plans import recommend as RE
+from accolade.plans.activity import guest_activity
 from accolade.policy import Policy
 from accolade.sources.sinks import cut, save_table
 from accolade.sources.staging import stage_all
@@ -59,6 +60,7 @@ class Recognition:
     """The tables of one run as attributes, each built on first use.
 
     ``keep`` sees every table with its label and may store it; by default all stay lazy.
+    ``activity`` stands in for the entity-days where they are already stored.
     """
 
     def __init__(
@@ -68,6 +70,7 @@ class Recognition:
         guardrails: DataFrame,
         policy: Policy = Policy(),
         keep: Keep = lazily,
+        activity: DataFrame | None = None,
     ):
         self.policy = policy
         self.as_of: dt.date = resolve_as_of(policy)
@@ -75,6 +78,7 @@ class Recognition:
         self.guardrails = guardrails
         self.staged = stage_all(landed, policy)
         self._keep = keep
+        self._activity = activity
 
     # --- intermediate ------------------------------------------------------------
 
@@ -82,43 +86,12 @@ class Recognition:
     def _member_ids(self) -> DataFrame:
         return self.staged["member"].select("member_id", "player_id")
 
-    def _dining_days(self) -> DataFrame:
-        """Closed checks of members, summed per member and business day before the member join:
-        a member with a third of all checks enters the join as a few thousand days."""
-        checks = self.staged["check"].where(
-            (F.col("check_status") == P.CLOSED_CHECK) & F.col("member_id").isNotNull()
-        )
-        day = business_day(F.col("closed_at"), self.policy.day_start_hour).alias("day")
-        per_day = checks.groupBy("member_id", day).agg(
-            F.count("*").alias("checks"), F.sum("subtotal").alias("spend")
-        )
-        return per_day.join(self._member_ids, "member_id")
-
     @cached_property
     def activity(self) -> DataFrame:
-        """One row per guest and business day with gaming, dining, hotel or jackpot activity."""
-        stays = self.staged["reservation"].where(
-            F.col("player_id").isNotNull() & F.col("reservation_status").isin(*P.STAY_STATUSES)
-        )
-        sources = [
-            ED.Contribution(self.staged["player_session"], "player_id", "gaming_date", {
-                "gaming_sessions": "1",
-                "gaming_minutes": "minutes_played",
-                "theo_win": "theoretical_win",
-                "actual_win": "actual_win",
-                "cash_in": "cash_in",
-                "points_earned": "points_awarded",
-            }),
-            ED.Contribution(self._dining_days(), "player_id", "day", {"dining_checks": "checks", "dining_spend": "spend"}),
-            ED.Contribution(stays, "player_id", "arrival_date", {
-                "hotel_stays": "1", "hotel_nights": "nights", "hotel_revenue": "IF(is_comp, NULL, nights * nightly_rate)",
-            }),
-            ED.Contribution(self.staged["jackpot"], "player_id", "gaming_date", {
-                "jackpot_count": "1", "jackpot_amount": "jackpot_amount",
-            }),
-        ]
-        daily = ED.entity_day(sources, self.policy.activity_measures, self.policy.visit_measures)
-        return self._keep(daily, "guest_activity_daily")
+        """One row per guest and business day, computed or as handed in."""
+        if self._activity is not None:
+            return self._activity
+        return self._keep(guest_activity(self.staged, self.policy), "guest_activity_daily")
 
     @cached_property
     def cumulative(self) -> DataFrame:
