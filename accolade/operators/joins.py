@@ -9,12 +9,22 @@ from pyspark.sql import functions as F
 def hint_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else None.
 
-    Counting stops one row past the bound.  Meant for catalogs; for other sides Spark's own
-    size threshold decides.
+    Counting stops one row past the bound.  Meant for catalogs and dimensions; for guest- or
+    member-sized sides Spark's own size threshold decides.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else None
 
 
+def dimension(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """A narrow dimension for joins on keys with few values (tiers, properties, outlets).
+
+    Within the bound it is broadcast, so the facts are never shuffled onto those few keys;
+    beyond it, it stays a plain join side, whose skewed partitions Spark splits at run time.
+    """
+    hinted = hint_if_small(df, max_rows)
+    return df if hinted is None else hinted
+
+
 def hot_keys(facts: DataFrame, key: str, share: float) -> list:
     """Key values that hold more than ``share`` of the rows.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from accolade import policy as P
 from accolade.functions.dates import age_on
 from accolade.functions.recognition import ineligible_reason, is_eligible
+from accolade.operators.joins import dimension
 from accolade.operators.signals import anomaly_aggregates, sum_when, with_anomaly
 from accolade.operators.windows import favorite, latest_in_interval, within_trailing
 from accolade.policy import Policy
@@ -56,11 +57,11 @@ def favorite_outlet(checks: DataFrame, members: DataFrame, outlets: DataFrame) -
     """
     paid = checks.where((F.col("check_status") == P.CLOSED_CHECK) & F.col("member_id").isNotNull())
     per_outlet = paid.groupBy("member_id", "outlet_id").agg(F.sum("subtotal").alias("spend"))
-    named = outlets.select(
+    named = dimension(outlets.select(
         "outlet_id",
         F.col("outlet_name").alias("favorite_outlet_name"),
         F.col("outlet_type").alias("favorite_outlet_type"),
-    )
+    ))
     values = ["favorite_outlet_name", "favorite_outlet_type"]
     spend = (
         per_outlet.join(named, "outlet_id")
@@ -95,20 +96,17 @@ def guest_profile(
     """The 360 together with the gaming signals, one row per guest.
 
     Every large side is grouped by guest beforehand, so the star of left joins runs on one
-    common partitioning; tiers and properties are plain joins whose size Spark checks before
-    it broadcasts them.
+    common partitioning; tiers and properties are dimensions and do not disturb it.
     """
     today = F.lit(as_of)
     members = staged["member"].select(
         "player_id", "member_id", "member_number", "member_status", "enroll_date", "tier_id", "points_balance",
         "email_opt_in", "sms_opt_in",
     )
-    tiers = staged["tier"].select("tier_id", "tier_name")
-    homes = staged["property"].select(
-        F.col("property_id").alias("home_property_id"), F.col("property_name").alias("home_property_name")
-    )
-    currents = staged["property"].select(
-        F.col("property_id").alias("current_property_id"), F.col("property_name").alias("current_property_name")
+    tiers = dimension(staged["tier"].select("tier_id", "tier_name"))
+    properties = dimension(staged["property"].select("property_id", "property_name"))
+    homes, currents = (
+        properties.withColumnsRenamed({c: f"{role}_{c}" for c in properties.columns}) for role in ("home", "current")
     )
     sessions = staged["player_session"]
     playing = property_today(sessions, as_of).withColumnRenamed("property_id", "playing_property_id")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from accolade import policy as P
 from accolade.functions import recognition as R
+from accolade.operators.joins import dimension
 from accolade.operators.rules import actionable
 from accolade.operators.windows import fold_rest, top_n
 from accolade.policy import Policy
@@ -26,7 +27,7 @@ def enrich(
 ) -> DataFrame:
     """Open milestones with their guest, recent comps and tier budget."""
     spent = budgets.select("player_id", "comps_cooldown_usd", "comps_window_usd")
-    caps = guardrails.select("tier_id", "max_reward_usd_30d")
+    caps = dimension(guardrails.select("tier_id", "max_reward_usd_30d"))
     cap = F.coalesce("max_reward_usd_30d", F.lit(policy.default_budget_usd))
     return (
         open_milestones.join(profile.select(*GUEST_COLUMNS), "player_id")

@@ -13,6 +13,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from accolade.operators.joins import dimension
 from accolade.sources.readers import LazyTables, Registry, read_source
 
 AS_OF = dt.date(2000, 3, 15)
@@ -27,7 +28,8 @@ def registry(sf_dir: str) -> Registry:
 
 
 def player(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+    homes = dimension(nation.select("n_nationkey", "n_regionkey"))
+    return customer.join(homes, customer.c_nationkey == homes.n_nationkey).selectExpr(
         "c_custkey AS playerid",
         "substring(c_name, 1, 8) AS firstname",
         "substring(c_name, 10) AS lastname",
