@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 def hint_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else None.
 
-    Counting stops one row past the bound.  Meant for catalogs and dimensions; for guest- or
-    member-sized sides Spark's own size threshold decides.
+    The look past the bound stops at its first row, and needs no job for a local relation.
+    Meant for catalogs and dimensions; for guest- or member-sized sides Spark's own size
+    threshold decides.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else None
+    return F.broadcast(df) if df.offset(max_rows).isEmpty() else None
 
 
 def dimension(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
