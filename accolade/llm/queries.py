@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from accolade.llm import interleave_shards, packing, site_lines, token_files
+from accolade.llm import hilbert_ann, interleave_shards, packing, site_lines, threshold_topk, token_files
 from accolade.llm.common import read
 from accolade.llm.statements import SQL
 
@@ -21,6 +21,10 @@ def op3_perfect_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.lookup(spark, path))
 
 
+def op5_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_topk.top_k(read(spark, sf_dir, "embeddings"), k=20, every_nth=20, scale=64)
+
+
 def op6_site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return site_lines.drop_lines(docs, site="source").select(
@@ -32,6 +36,10 @@ def op7_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op9_hilbert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_ann.nearest(read(spark, sf_dir, "embeddings"), k=20, every_nth=20)
+
+
 def op10_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = interleave_shards.interleave(read(spark, sf_dir, "documents"), shards=16)
     return placed.select(
@@ -42,7 +50,8 @@ def op10_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = (
-        op3_perfect_hash_index, op6_site_line_frequency, op7_shortest_pack_first, op10_stratified_interleaving,
+        op3_perfect_hash_index, op5_threshold_topk, op6_site_line_frequency, op7_shortest_pack_first, op9_hilbert_windows,
+        op10_stratified_interleaving,
     )
     return {f.__name__: f for f in named}
 

@@ -7,6 +7,16 @@ from accolade.llm.site_lines import LEAST_PAGES, RATIO
 _LINE = r"trim(line, E' \t\r\n')"
 
 SQL: dict[str, str] = {
+    "op5_threshold_topk": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS vec FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        )
+        SELECT q.vec_id AS query_id,
+               row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.vec, c.vec) DESC, c.vec_id)::INTEGER AS rank,
+               c.vec_id, list_dot_product(q.vec, c.vec)::BIGINT AS score
+        FROM usable q JOIN usable c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+        QUALIFY rank <= 20""",
     "op6_site_line_frequency": f"""
         WITH lines AS (
             SELECT doc_id, source, rid, unnest(string_split(text, chr(10))) AS line,
