@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 #: Rows of one Arrow batch.  A batch holds whole texts, so it is kept small; the setting stays
@@ -27,7 +28,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def over_batches(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]]], schema: str
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` with state per task: ``make()`` runs once in each task."""
 

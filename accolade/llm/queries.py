@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from accolade.llm import hilbert_ann, interleave_shards, packing, site_lines, threshold_topk, token_files
+from accolade.llm import hilbert_ann, interleave_shards, packing, site_lines, threshold_topk, token_files, toxicity
 from accolade.llm.common import read
 from accolade.llm.statements import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_perfect_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.fresh_path(spark)
     token_files.write(read(spark, sf_dir, "documents"), path, width=2)
@@ -50,7 +54,7 @@ def op10_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = (
-        op3_perfect_hash_index, op5_threshold_topk, op6_site_line_frequency, op7_shortest_pack_first, op9_hilbert_windows,
+        op1_factorization_machine, op3_perfect_hash_index, op5_threshold_topk, op6_site_line_frequency, op7_shortest_pack_first, op9_hilbert_windows,
         op10_stratified_interleaving,
     )
     return {f.__name__: f for f in named}
