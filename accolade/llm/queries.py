@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from accolade.llm import hilbert_ann, interleave_shards, packing, site_lines, threshold_topk, token_files, toxicity
+from accolade.llm import hilbert_ann, interleave_shards, minmax_dedup, packing, site_lines, suffix_dedup, threshold_topk, token_files, toxicity
 from accolade.llm.common import read
 from accolade.llm.statements import SQL
 
@@ -19,12 +19,24 @@ def op1_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_suffix_array_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id", F.col("bytes_").alias("n_bytes"), (F.col("bytes_") - F.octet_length("kept_")).alias("n_removed"),
+        F.col("spans_").alias("n_spans"), F.sha2("kept_", 256).alias("kept_sha256"),
+    )
+
+
 def op3_perfect_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.fresh_path(spark)
     token_files.write(read(spark, sf_dir, "documents"), path, width=2)
     return token_files.digests(token_files.lookup(spark, path))
 
 
+def op4_minmax_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op5_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threshold_topk.top_k(read(spark, sf_dir, "embeddings"), k=20, every_nth=20, scale=64)
 
@@ -54,8 +66,8 @@ def op10_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = (
-        op1_factorization_machine, op3_perfect_hash_index, op5_threshold_topk, op6_site_line_frequency, op7_shortest_pack_first, op9_hilbert_windows,
-        op10_stratified_interleaving,
+        op1_factorization_machine, op2_suffix_array_spans, op3_perfect_hash_index, op4_minmax_components,
+        op5_threshold_topk, op6_site_line_frequency, op7_shortest_pack_first, op9_hilbert_windows, op10_stratified_interleaving,
     )
     return {f.__name__: f for f in named}
 

@@ -6,7 +6,72 @@ from accolade.llm.site_lines import LEAST_PAGES, RATIO
 
 _LINE = r"trim(line, E' \t\r\n')"
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def near_duplicates(table: str) -> str:
+    """Common table expressions; ``near`` has (doc_id, n_shingles, component_id) of the table."""
+    return rf"""
+        words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS ws
+            FROM {table}
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS own
+            FROM words
+        ), each AS MATERIALIZED (SELECT doc_id, len(own) AS n, hash(unnest(own)) AS shingle FROM sets),
+        links AS MATERIALIZED (
+            SELECT a.doc_id AS u, b.doc_id AS v FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON l.u = r.other
+        ), near AS (
+            SELECT s.doc_id, len(own)::BIGINT AS n_shingles, c.component_id FROM sets s
+            JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = s.doc_id
+        )"""
+
+
+def repeated_spans(table: str) -> str:
+    """Common table expressions; ``spans`` has (rid, doc_id, body, n_bytes, n_removed, n_spans, kept) of the table.
+
+    Texts are written as hexadecimal digits, two for a byte, and cut into overlapping stretches.
+    """
+    return f"""
+        hexed AS MATERIALIZED (
+            SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS body FROM {table}
+        ), stretches AS (
+            SELECT rid, p, substr(body, 2 * p + 1, 2 * 1199) AS piece
+            FROM (SELECT rid, body, unnest(range(0, greatest(len(body) // 2 - 199, 0), 1000)) AS p FROM hexed)
+        ), starts AS MATERIALIZED (
+            SELECT rid, p + i AS pos, md5_number(substr(piece, 2 * i + 1, 400)) AS digest
+            FROM (SELECT rid, p, piece, unnest(range(0, least(1000, len(piece) // 2 - 199))) AS i FROM stretches)
+        ), again AS (
+            SELECT rid, pos FROM starts WHERE digest IN (SELECT digest FROM starts GROUP BY digest HAVING count(*) > 1)
+        ), marked AS (
+            SELECT rid, pos, pos > coalesce(lag(pos) OVER (PARTITION BY rid ORDER BY pos), -1000) + 200 AS opens FROM again
+        ), runs AS (
+            SELECT rid, run, min(pos) AS lo, max(pos) + 200 AS hi
+            FROM (SELECT *, sum(opens::INT) OVER (PARTITION BY rid ORDER BY pos) AS run FROM marked) GROUP BY rid, run
+        ), gaps AS (
+            SELECT rid, lo, hi, coalesce(lag(hi) OVER (PARTITION BY rid ORDER BY lo), 0) AS since FROM runs
+        ), cut AS (
+            SELECT h.rid, string_agg(substr(body, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) AS kept,
+                   max(hi) AS upto, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans
+            FROM gaps g JOIN hexed h ON h.rid = g.rid GROUP BY h.rid
+        ), spans AS (
+            SELECT h.rid, h.doc_id, h.body, (len(h.body) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+                   coalesce(n_spans, 0) AS n_spans, unhex(coalesce(kept || substr(h.body, 2 * upto + 1), h.body)) AS kept
+            FROM hexed h LEFT JOIN cut c ON c.rid = h.rid
+        )"""
+
+
 SQL: dict[str, str] = {
+    "op2_suffix_array_spans": f"""
+        WITH {repeated_spans("documents")}
+        SELECT doc_id, n_bytes, n_removed, n_spans, sha256(kept) AS kept_sha256 FROM spans""",
+    "op4_minmax_components": f"""
+        WITH RECURSIVE {near_duplicates("documents")}
+        SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM near""",
     "op5_threshold_topk": """
         WITH usable AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS vec FROM embeddings
