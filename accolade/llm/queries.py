@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from accolade.llm import hilbert_ann, interleave_shards, minmax_dedup, packing, site_lines, suffix_dedup, threshold_topk, token_files, toxicity
+from accolade.llm import hilbert_ann, interleave_shards, minmax_dedup, packing, piece_transducer, site_lines, suffix_dedup, threshold_topk, token_files, toxicity
 from accolade.llm.common import read
 from accolade.llm.statements import SQL
 
@@ -52,6 +52,10 @@ def op7_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op8_weighted_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_transducer.encode(read(spark, sf_dir, "documents"))
+
+
 def op9_hilbert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_ann.nearest(read(spark, sf_dir, "embeddings"), k=20, every_nth=20)
 
@@ -67,7 +71,7 @@ def op10_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     named = (
         op1_factorization_machine, op2_suffix_array_spans, op3_perfect_hash_index, op4_minmax_components,
-        op5_threshold_topk, op6_site_line_frequency, op7_shortest_pack_first, op9_hilbert_windows, op10_stratified_interleaving,
+        op5_threshold_topk, op6_site_line_frequency, op7_shortest_pack_first, op8_weighted_transducer, op9_hilbert_windows, op10_stratified_interleaving,
     )
     return {f.__name__: f for f in named}
 
