@@ -73,8 +73,8 @@ def queries() -> dict[str, Query]:
         op1_factorization_machine, op2_suffix_array_spans, op3_perfect_hash_index, op4_minmax_components,
         op5_threshold_topk, op6_site_line_frequency, op7_shortest_pack_first, op8_weighted_transducer, op9_hilbert_windows, op10_stratified_interleaving,
     )
-    return {f.__name__: f for f in named}
+    return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -266,9 +266,14 @@ def remaining(text: bytes, runs: list[tuple[int, int]], span: int) -> tuple[byte
 
 
 def dedup(
-    docs: DataFrame, text: str = "text", span: int = SPAN, gram: int = GRAM, most_segments: int = MOST_SEGMENTS
+    docs: DataFrame, text: str = "text", span: int = SPAN, gram: int = GRAM, most_segments: int = MOST_SEGMENTS,
+    as_text: bool = False,
 ) -> DataFrame:
-    """All columns of ``docs`` with ``kept_`` (remaining bytes), ``bytes_`` and ``spans_``."""
+    """All columns of ``docs`` but the text, with ``kept_`` (remaining bytes), ``bytes_`` and ``spans_``.
+
+    ``as_text`` gives the remaining bytes as the text instead, without the parts of letters that
+    cuts have left.
+    """
     bounded_batches(docs.sparkSession)
     passed = [f"column{i}" for i, _ in enumerate(docs.columns)]  # names that cannot clash
     inner = docs.toDF(*passed)
@@ -287,13 +292,15 @@ def dedup(
             ]
             sizes = pa.array([len(b) for b in batch.column(0).to_pylist()], pa.int64())
             return pa.RecordBatch.from_arrays(
-                [*batch.columns[2:], pa.array([k for k, _ in results], pa.binary()), sizes, pa.array([g for _, g in results], pa.int64())],
+                [*batch.columns[2:], pa.array([k.decode("utf-8", "ignore") if as_text else k for k, _ in results]), sizes, pa.array([g for _, g in results], pa.int64())],
                 names=[*others, "kept_", "bytes_", "spans_"])
 
         return step
 
-    schema = ", ".join([*(f"{p} {kinds[p]}" for p in others), "kept_ binary, bytes_ long, spans_ long"])
+    schema = ", ".join([*(f"{p} {kinds[p]}" for p in others), f"kept_ {'string' if as_text else 'binary'}, bytes_ long, spans_ long"])
     out = over_batches(met.select("bytes", "runs", *others), make, schema)
+    if as_text:
+        return out.select(*[F.col("kept_" if c == text else p).alias(c) for p, c in zip(passed, docs.columns, strict=True)])
     names = [F.col(p).alias(c) for p, c in zip(passed, docs.columns, strict=True) if c != text]
     return out.select(*names, "kept_", "bytes_", "spans_")
 
