@@ -82,7 +82,10 @@ def presence(in_house: Column, on_property: Column) -> Column:
 
 
 def context_text(member_years: Column, visits: Column, spot: Column) -> Column:
-    """One line about the guest; NULL only if the membership or visit count is NULL."""
+    """One line about the guest; NULL only if the membership or visit count is NULL.
+
+    Fixed values: the words of the line, which consumers of the list read as they are.
+    """
     return F.concat(
         F.lit("Member "), member_years.cast("string"), F.lit(" yrs - "),
         visits.cast("string"), F.lit(" visits - favorite spot: "), F.coalesce(spot, F.lit("n/a")),

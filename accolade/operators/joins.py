@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +18,14 @@ def hint_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
     return F.broadcast(df) if df.offset(max_rows).isEmpty() else None
 
 
-def dimension(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+def dimension(df: DataFrame) -> DataFrame:
     """A narrow dimension for joins on keys with few values (tiers, properties, outlets).
 
-    Within the bound it is broadcast, so the facts are never shuffled onto those few keys;
-    beyond it, it stays a plain join side, whose skewed partitions Spark splits at run time.
+    Such a side has a few rows, and Spark broadcasts it when its size is below the session's
+    threshold, known from the files or from the shuffle; beyond that the join is a plain one,
+    whose skewed partitions Spark splits at run time.  Nothing is counted while planning.
     """
-    hinted = hint_if_small(df, max_rows)
-    return df if hinted is None else hinted
+    return df
 
 
 def hot_keys(facts: DataFrame, key: str, share: float) -> list:
@@ -38,22 +40,22 @@ def hot_keys(facts: DataFrame, key: str, share: float) -> list:
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", hot_share: float = 0.001
+    facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", hot: Sequence = ()
 ) -> DataFrame:
     """Fact-to-lookup equi-join that survives a key holding a large share of the facts.
 
-    Rows of hot keys are joined by broadcast: ``lookup`` is unique per key, so that side has
-    at most ``1 / hot_share`` rows.  All other facts take the normal exchange.  ``how`` is
-    ``inner`` or ``left``; in a left join, facts without a key match nothing and skip the
-    exchange too.
+    ``hot`` names keys known to be hot (``hot_keys`` finds them, in a job of its own).  Their rows
+    are joined by broadcast: ``lookup`` is unique per key, so that side has as many rows as
+    there are hot keys.  All other facts take the normal exchange, whose skew Spark splits at run
+    time.  ``how`` is ``inner`` or ``left``; in a left join, facts without a key match nothing and
+    skip the exchange too.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
     k = F.col(key)
     known = facts.where(k.isNotNull())
-    hot = hot_keys(facts, key, hot_share)
     if hot:
-        is_hot = k.isin(hot)
+        is_hot = k.isin(list(hot))
         joined = known.where(~is_hot).join(lookup, key, how).unionByName(
             known.where(is_hot).join(F.broadcast(lookup.where(is_hot)), key, how)
         )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accolade.functions.recognition import surrogate_key
@@ -25,7 +25,8 @@ def cross_thresholds(
     per salt and the events are spread over the salts.
     """
     live = rules.where(F.col("is_active") == 1).select(
-        "rule_id", "milestone_family", F.col("metric_name").alias("rule_metric"), "threshold"
+        "rule_id", "milestone_family", F.col("metric_name").alias("rule_metric"), "threshold",
+        *[c for c in ("rule_number", "metric_slot") if c in rules.columns],
     )
     crossed = (
         (F.col("metric_name") == F.col("rule_metric"))
@@ -42,30 +43,41 @@ def cross_thresholds(
     )
 
 
-def highest_per_family(crossings: DataFrame) -> DataFrame:
-    """Of several thresholds of one family crossed on one day, keep the highest.
+def numbered(rules: DataFrame) -> DataFrame:
+    """Live rules with a number that grows with what they outrank in their family (a higher
+    threshold, or the smaller id at the same one), and the place of their metric among the
+    family's metrics.  The catalog is small and numbered as a whole."""
+    family = Window.partitionBy("milestone_family")
+    return rules.where(F.col("is_active") == 1).withColumns({
+        "rule_number": F.row_number().over(family.orderBy(F.col("threshold"), F.col("rule_id").desc())),
+        "metric_slot": F.dense_rank().over(family.orderBy("metric_name")) - 1,
+    })
 
-    An aggregate instead of a ranking: it combines before the exchange and carries only the
-    rule's id and threshold, never its texts.
+
+def highest_per_family(crossings: DataFrame, slots: int = 1) -> DataFrame:
+    """Of several thresholds of one family crossed on one day, the number of the highest, and the
+    largest value of each of the family's metrics.
+
+    Maxima of fixed-width numbers: they hash-aggregate, combine before the exchange, and carry
+    no id and no text.  An event that crosses the highest rule of its metric has the largest
+    value of those that cross any, so the value found is the one that reached the rule.
     """
-    best = F.min(F.struct((-F.col("threshold")).alias("t"), "rule_id", (-F.col("metric_value")).alias("v")))
-    return (
-        crossings.groupBy("player_id", "milestone_family", "event_date")
-        .agg(best.alias("best"))
-        .select(
-            "player_id", "event_date", F.col("best.rule_id").alias("rule_id"),
-            (-F.col("best.v")).alias("achieved_value"),
-        )
+    value = lambda i: F.max(F.when(F.col("metric_slot") == i, F.col("metric_value"))).alias(f"value_{i}")
+    return crossings.groupBy("player_id", "milestone_family", "event_date").agg(
+        F.max("rule_number").alias("rule_number"), *[value(i) for i in range(slots)]
     )
 
 
 def milestones(events: DataFrame, rules: DataFrame, max_broadcast_rows: int = 10_000) -> DataFrame:
     """Every milestone reached, with its key and its rule's attributes."""
-    reached = highest_per_family(cross_thresholds(events, rules, max_broadcast_rows))
-    catalog = rules.where(F.col("is_active") == 1).select("rule_id", *RULE_ATTRIBUTES)
-    hinted = hint_if_small(catalog, max_broadcast_rows)
-    attributes = catalog if hinted is None else hinted
-    return reached.join(attributes, "rule_id").select(
+    live = numbered(rules)
+    slots = (live.agg(F.max("metric_slot")).first()[0] or 0) + 1
+    reached = highest_per_family(cross_thresholds(events, live, max_broadcast_rows), slots)
+    attributes = live.select("rule_id", *RULE_ATTRIBUTES, "rule_number", "metric_slot")
+    hinted = hint_if_small(attributes, max_broadcast_rows)
+    achieved = F.coalesce(*[F.when(F.col("metric_slot") == i, F.col(f"value_{i}")) for i in range(slots)])
+    joined = reached.join(attributes if hinted is None else hinted, ["milestone_family", "rule_number"])
+    return joined.withColumn("achieved_value", achieved).select(
         surrogate_key(F.col("player_id"), F.col("rule_id"), F.col("event_date")).alias("milestone_id"),
         "player_id", "rule_id", "milestone_family", "milestone_name", "metric_name", "threshold",
         "achieved_value", "event_date", "lead_days", "recognition_window_days", "reward_type",

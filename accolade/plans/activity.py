@@ -28,17 +28,32 @@ def activity_day(name: str, policy: Policy) -> Column:
     return business_day(F.col(column), policy.day_start_hour) if is_timestamp else F.col(column)
 
 
+def runs_of(days: Sequence[dt.date]) -> list[tuple[dt.date, dt.date]]:
+    """First and last day of each run of adjacent days."""
+    runs: list[tuple[dt.date, dt.date]] = []
+    for day in sorted(set(days)):
+        if runs and (day - runs[-1][1]).days == 1:
+            runs[-1] = (runs[-1][0], day)
+        else:
+            runs.append((day, day))
+    return runs
+
+
 def on_days(staged: Mapping[str, DataFrame], days: Sequence[dt.date], policy: Policy) -> dict[str, DataFrame]:
     """The staged tables with activity rows of the given days only.
 
-    Dates are compared as literals and timestamps by a raw range as well, so both reach the
-    scans and prune files.
+    Dates are compared as literals and timestamps by raw ranges as well, one for each run of
+    adjacent days, so both reach the scans and prune files, and one late day does not open the
+    years before it.
     """
     cut = dict(staged)
     for name, (column, is_timestamp) in ACTIVITY_DATES.items():
         rows = staged[name]
         if is_timestamp:
-            rows = rows.where(in_business_days(F.col(column), min(days), max(days), policy.day_start_hour))
+            inside = F.lit(False)
+            for first, last in runs_of(days):
+                inside = inside | in_business_days(F.col(column), first, last, policy.day_start_hour)
+            rows = rows.where(inside)
         cut[name] = rows.where(activity_day(name, policy).isin(list(days)))
     return cut
 

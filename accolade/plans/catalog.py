@@ -27,7 +27,7 @@ from accolade.operators.entity_day import zero_filled
 from accolade.operators.events import unpivot_cumulative
 from accolade.plans import guest360 as G
 from accolade.plans import recommend as RE
-from accolade.plans.pipeline import Keep, Recognition, cutting, lazily
+from accolade.plans.pipeline import Keep, Recognition, cutting, lazily, publish_staging
 from accolade.policy import Policy
 from accolade.sources import readers, sample, sinks
 from accolade.sources.staging import SOURCE_COLUMNS
@@ -129,14 +129,28 @@ def table_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reg = sample.registry(sf_dir)
-    loaded = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
-    return published(reduce(DataFrame.unionByName, [
-        readers.freshness(readers.read_source(spark, reg, t), c, FRESHNESS_NOW).select(
-            F.lit(t).alias("source"), "newest", "age_hours", "status"
-        )
-        for t, c in loaded.items()
-    ]))
+    return published(readers.freshness_report(spark, sample.registry(sf_dir), sample.SYSTEMS, FRESHNESS_NOW))
+
+
+def staging_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guests and live members per status, asked in SQL of the registered staging views."""
+    publish_staging(recognition_run(spark, sf_dir), "sample_")
+    return published(spark.sql("""
+        SELECT player_status, count(*) AS n_guests, count(m.member_id) AS n_members
+        FROM sample_stg_player p LEFT JOIN sample_stg_member m ON m.player_id = p.player_id
+        GROUP BY player_status"""))
+
+
+#: A moment of the as-of day by the policy's clock rules, though its date in UTC is the day after.
+CLOCK = dt.datetime(2000, 3, 16, 12, 59, 59, tzinfo=dt.timezone.utc)
+
+
+def clock_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guests active on the business day that a clock handed in falls on."""
+    day = D.resolve_as_of(Policy(), CLOCK)
+    run = recognition_run(spark, sf_dir, policy=Policy(as_of_date=day))
+    return published(
+        run.activity.where(F.col("activity_date") == F.lit(run.as_of)).select("player_id", "activity_date", "visit_flag"))
 
 
 def _staged(name: str) -> Query:
@@ -305,6 +319,14 @@ def threshold_crossing(run: Recognition) -> DataFrame:
     return RU.cross_thresholds(run.metric_events, run.rules)
 
 
+def comp_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recent comps per guest where some guests hold two memberships."""
+    run = recognition_run(spark, sf_dir)
+    cards = Recognition(
+        sample.with_second_cards(sample.landed_tables(spark, sf_dir)), run.rules, run.guardrails, run.policy)
+    return published(cards.comp_budget)
+
+
 # --- aggregates and windows ----------------------------------------------------------------
 
 
@@ -439,7 +461,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         f.__name__: f
         for f in (scan_sources, select_normalized, live_rows, minimize_columns, rules_catalog, budget_catalog,
-                  table_sink_roundtrip, source_freshness, dq_unique_combination)
+                  table_sink_roundtrip, source_freshness, staging_views, clock_day, dq_unique_combination)
     }
     out.update({f"stg_{name}": _staged(name) for name in SOURCE_COLUMNS})
     on_staging = (
@@ -457,7 +479,7 @@ def queries() -> dict[str, Query]:
         "calendar_events": _of_run(lambda r: r.calendar),
         "unpivot_cumulative": _of_run(lambda r: unpivot_cumulative(r.cumulative, r.policy.cumulative_metrics)),
         "baseline_anomaly": _of_run(lambda r: r.rg_signals),
-        "comp_budget": _of_run(lambda r: r.comp_budget),
+        "comp_budget": comp_budget,
         "favorite_game": _of_run(lambda r: G.favorite_game(r.staged["player_session"], r.as_of, r.policy)),
         "favorite_outlet": _of_run(
             lambda r: G.favorite_outlet(r.staged["check"], r.staged["member"], r.staged["outlet"])

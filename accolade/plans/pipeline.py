@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -112,7 +112,7 @@ class Recognition:
         anniversaries = EV.membership_events(members, *near).join(guests.select("player_id"), "player_id", "left_semi")
         return self._keep(EV.metric_events(birthdays, anniversaries), "guest_calendar_events")
 
-    def _day_events(self) -> DataFrame:
+    def _day_events(self, totals: DataFrame) -> DataFrame:
         """Running totals, streaks, comebacks and big wins: all from one pass over the guest's days.
 
         The gap of a comeback counts from any earlier active day.
@@ -120,7 +120,7 @@ class Recognition:
         col, day = F.col, F.col("activity_date")
         visited = col("visit_flag") == 1
         gap, streak = F.datediff(day, "prior_activity_date"), col("streak_months")
-        history = ED.with_streaks(self.cumulative, visited)
+        history = ED.with_streaks(totals, visited)
         return EV.emit(history, col("player_id"), {
             **EV.cumulative_candidates(self.policy.cumulative_metrics, "activity_date"),
             "streak": (streak.isNotNull(), EV.event("consecutive_visit_months", day, streak, streak - 1)),
@@ -152,9 +152,24 @@ class Recognition:
     def metric_events(self) -> DataFrame:
         """The one long table every milestone is looked up in."""
         return self._keep(
-            EV.metric_events(self._day_events(), self._tier_events(), self.calendar), "guest_metric_events"
+            EV.metric_events(self._day_events(self.cumulative), self._tier_events(), self.calendar), "guest_metric_events"
         )
 
+    def _near_events(self) -> DataFrame:
+        """The metric events inside the widest rule window.
+
+        An event of a day needs the guest's earlier days, but only of guests with a day inside the
+        window.  They are found from a range of days, which reaches the scan, and the history is
+        cut to them before any window runs; both sides share the buckets of the entity-days.
+        """
+        first, last = self._widest_window
+        near = lambda day: F.col(day).between(F.lit(first), F.lit(last))
+        active = self.activity.where(near("activity_date")).select("player_id")
+        history = self.activity.where(F.col("activity_date") <= F.lit(last)).join(active, "player_id", "left_semi")
+        totals = ED.running_totals(history, self.policy.cumulative_metrics)
+        events = EV.metric_events(self._day_events(totals), self._tier_events(), self.calendar)
+        return events.where(near("event_date"))
+
     @cached_property
     def rg_signals(self) -> DataFrame:
         signals = SG.baseline_anomaly(self.activity, self.as_of, self.policy)
@@ -162,12 +177,14 @@ class Recognition:
 
     @cached_property
     def comp_budget(self) -> DataFrame:
-        """Comps are summed per member before the member join."""
+        """Comps are summed per member before the member join, then over the guest's memberships."""
         spent = SG.trailing_budget(self.staged["comp"].where(F.col("member_id").isNotNull()), self.as_of, self.policy)
-        per_guest = spent.join(self._member_ids, "member_id").drop("member_id")
-        return self._keep(per_guest.select(
-            "player_id", "comps_cooldown_usd", "comps_window_usd", "last_comp_date"
-        ), "guest_comp_budget")
+        per_guest = spent.join(self._member_ids, "member_id").groupBy("player_id").agg(
+            F.sum("comps_cooldown_usd").alias("comps_cooldown_usd"),
+            F.sum("comps_window_usd").alias("comps_window_usd"),
+            F.max("last_comp_date").alias("last_comp_date"),
+        )
+        return self._keep(per_guest, "guest_comp_budget")
 
     # --- marts --------------------------------------------------------------------
 
@@ -193,16 +210,20 @@ class Recognition:
 
     @cached_property
     def recommendations(self) -> DataFrame:
-        """Milestones are cut to the widest window first: a literal range on the event date, which
-        Catalyst pushes through the milestone grouping into each event branch."""
-        first, last = self._widest_window
-        near = self.milestones.where(F.col("event_date").between(F.lit(first), F.lit(last)))
+        """From the events of the widest rule window alone: a day's list does not go through the
+        history of guests who did nothing in it."""
+        near = RU.milestones(self._near_events(), self.rules)
         recs = RE.recommendations(near, self.profile, self.comp_budget, self.guardrails, self.as_of, self.policy)
         return self._keep(recs, "recommendations")
 
+    @cached_property
+    def listed(self) -> DataFrame:
+        """The worklist before it is published: what the checks look at."""
+        return RE.worklist(self.recommendations, self.policy)
+
     @cached_property
     def worklist(self) -> DataFrame:
-        return self._keep(RE.worklist(self.recommendations, self.policy), "daily_worklist")
+        return self._keep(self.listed, "daily_worklist")
 
     # --- quality --------------------------------------------------------------------
 
@@ -216,7 +237,7 @@ class Recognition:
             Q.TableChecks(name, self.staged[name], **Q.not_null_and_unique(*cols)) for name, cols in keyed.items()
         ]
         null = lambda c: {f"not_null({c})": F.col(c).isNull()}
-        recs, listed = self.recommendations, self.worklist
+        recs, listed = self.recommendations, self.listed
         return staged + [
             Q.TableChecks("rules", self.rules, {
                 **null("rule_id"), **null("reward_budget_usd"),
@@ -247,6 +268,13 @@ class Recognition:
     def check_report(self) -> DataFrame:
         return Q.run_checks(self.checks())
 
+    def violations(self, warn_only: Collection[str] = ()) -> list[str]:
+        """Checks that fail, as ``table.check: rows``; those in ``warn_only`` are left out.  The report
+        has a row for each check, so the list is short whatever the data."""
+        failed = self.check_report().where(F.col("violations") > 0).collect()
+        named = [(f"{r['table']}.{r['check']}", r["violations"]) for r in failed]
+        return [f"{name}: {n}" for name, n in sorted(named) if name not in warn_only]
+
 
 class TablesKept:
     """Stores every table in the catalog, one schema per layer, overwritten on each run.
@@ -278,7 +306,25 @@ def publish_staging(run: Recognition, prefix: str = "") -> None:
         df.createOrReplaceTempView(f"{prefix}stg_{name}")
 
 
-def build(run: Recognition, only: Iterable[str] = ("worklist", "guest_360", "rg_signals")) -> None:
-    """Build the named tables and all they depend on, through the run's ``keep``."""
-    for name in only:
-        getattr(run, name)
+class ChecksFailed(Exception):
+    """A build stopped before publishing its worklist; the message names the failed checks."""
+
+
+def build(
+    run: Recognition,
+    only: Iterable[str] = ("worklist", "guest_360", "rg_signals", "streaks", "milestones"),
+    warn_only: Collection[str] = (),
+) -> None:
+    """Build the named tables and all they depend on, through the run's ``keep``.
+
+    The worklist comes last, and only if every check of the run passes (``warn_only`` names
+    checks, as ``table.check``, that may fail); otherwise the one published before stays.
+    """
+    names = list(only)
+    for name in names:
+        if name != "worklist":
+            getattr(run, name)
+    if "worklist" in names:
+        if failed := run.violations(warn_only):
+            raise ChecksFailed("; ".join(failed))
+        run.worklist  # noqa: B018 - built on first use

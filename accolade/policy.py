@@ -114,21 +114,23 @@ class Policy:
     # preferences and value look-back
     trailing_days: int = 365
 
-    # text used instead of the rule's own when a guest is flagged
+    # text used instead of the rule's own when a guest is flagged, and a phrase of it that checks look for
     check_in_text: str = (
-        "{first_name}, it is good to see you. May I show you a quiet spot to take a break, "
-        "or bring you some food or a drink? Please call on me whenever you need."
+        "{first_name}, a word in private: the advisers at our welcome desk set play limits and time-outs "
+        "on request, at any hour and in confidence. Shall I walk you over?"
     )
     check_in_action: str = (
-        "Personal, low-key check-in by the host without any gaming incentive. Offer a meal or a rest "
-        "in the lounge and point out the responsible gaming services."
+        "Speak with the guest alone and make no offer of any kind. Say that advisers are at the welcome desk "
+        "and what they can set up, then leave the choice to the guest."
     )
-    check_in_phrase: str = "quiet spot to take a break"
+    check_in_phrase: str = "play limits and time-outs"
 
     weights: ScoreWeights = ScoreWeights()
 
-    # name of the soft-delete column a landed table may carry
-    deleted_flag: str = "_deleted"
+    # names of soft-delete columns a landed table may carry (* stands for a loader's own word), and
+    # the systems whose every table must carry one
+    deleted_flags: tuple[str, ...] = ("_deleted", "is_deleted", "_*_deleted")
+    deleted_flag_required: frozenset[str] = frozenset()
 
     # metric registries: add a line here to add a measure or a cumulative metric
     activity_measures: tuple[str, ...] = ACTIVITY_MEASURES

@@ -6,6 +6,8 @@ import csv
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from fnmatch import fnmatchcase
+from functools import reduce
 from pathlib import Path
 
 import pyarrow as pa
@@ -43,9 +45,21 @@ BUDGET_SCHEMA = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class FreshnessRule:
+    """When the newest load of a system's tables is late; ``columns`` differ from ``loaded_at`` by table."""
+
+    loaded_at: str
+    warn_hours: float = 2
+    error_hours: float = 24
+    columns: Mapping[str, str] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Registry:
-    """Where logical tables live.
+    """Where logical tables live, and what is expected of their systems.
+
+    ``freshness`` has a rule for each system that loads on a schedule; others are exempt.
 
     A table resolves to ``identifiers[name]`` (default: the name itself), placed under
     ``root`` for file formats, or under ``schemas[system]`` for ``fmt="table"``.
@@ -56,6 +70,7 @@ class Registry:
     suffix: str = ""
     identifiers: Mapping[str, str] = field(default_factory=dict)
     schemas: Mapping[str, str] = field(default_factory=dict)
+    freshness: Mapping[str, FreshnessRule] = field(default_factory=dict)
 
     def locate(self, name: str, system: str | None = None) -> str:
         ident = self.identifiers.get(name, name)
@@ -116,11 +131,26 @@ def select_normalized(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*normalized(df, columns))
 
 
-def live_rows(df: DataFrame, flag: str = "_deleted") -> DataFrame:
-    """Drop soft-deleted rows, if the table has the flag; an unknown flag counts as live."""
-    if flag.lower() not in (c.lower() for c in df.columns):
-        return df
-    return df.where(~F.coalesce(F.col(f"`{flag}`"), F.lit(False)))
+def flag_columns(df: DataFrame, flags: str | Sequence[str]) -> list[str]:
+    """Columns that one of the flag names means: whatever their case or underscores, or as a
+    pattern where the name has a ``*``."""
+    names = [flags] if isinstance(flags, str) else flags
+    plain, patterns = {_plain(f) for f in names if "*" not in f}, [f.lower() for f in names if "*" in f]
+    return [c for c in df.columns if _plain(c) in plain or any(fnmatchcase(c.lower(), p) for p in patterns)]
+
+
+def live_rows(df: DataFrame, flags: str | Sequence[str] = "_deleted", required: bool = False) -> DataFrame:
+    """Drop rows that any of the soft-delete flags marks; a NULL flag counts as live.
+
+    A table may land without a flag, unless its system declares that all its tables carry one
+    (``required``).
+    """
+    found = flag_columns(df, flags)
+    if required and not found:
+        raise ValueError(f"no soft-delete flag found; columns present: {', '.join(df.columns)}")
+    for c in found:
+        df = df.where(~F.coalesce(F.col(f"`{c}`"), F.lit(False)))
+    return df
 
 
 def read_seed(spark: SparkSession, path: str | Path, schema: T.StructType) -> DataFrame:
@@ -167,3 +197,19 @@ def freshness(
         .withColumn("age_hours", age)
         .withColumn("status", status)
     )
+
+
+def freshness_report(
+    spark: SparkSession, registry: Registry, systems: Mapping[str, str | None], now: dt.datetime
+) -> DataFrame:
+    """(source, newest, age_hours, status) of every table whose system has a freshness rule."""
+    parts = []
+    for name, system in systems.items():
+        rule = registry.freshness.get(system or "")
+        if rule is not None:
+            column = rule.columns.get(name, rule.loaded_at)
+            late = freshness(read_source(spark, registry, name, system), column, now, rule.warn_hours, rule.error_hours)
+            parts.append(late.select(F.lit(name).alias("source"), "newest", "age_hours", "status"))
+    if not parts:
+        raise ValueError("no system of the registry has a freshness rule")
+    return reduce(DataFrame.unionByName, parts)

@@ -12,9 +12,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from accolade.operators.joins import dimension
-from accolade.sources.readers import LazyTables, Registry, read_source
+from accolade.sources.readers import FreshnessRule, LazyTables, Registry, read_source
 
 AS_OF = dt.date(2000, 3, 15)
 
@@ -23,8 +24,14 @@ TIERS = (("Silver", 0, 1.0), ("Gold", 1000, 1.25), ("Platinum", 5000, 1.5), ("Di
          ("Noir", 75000, 3.0))
 
 
+#: Given tables by the system they stand for; reference tables load on no schedule.
+SYSTEMS = {"events": "log", "orders": "pos", "lineitem": "cms", "region": "ref", "nation": "ref"}
+
+
 def registry(sf_dir: str) -> Registry:
-    return Registry(root=sf_dir, fmt="parquet", suffix=".parquet")
+    late = {"log": FreshnessRule("ts"), "pos": FreshnessRule("o_orderdate"),
+            "cms": FreshnessRule("loaded_at", columns={"lineitem": "l_shipdate"})}
+    return Registry(root=sf_dir, fmt="parquet", suffix=".parquet", freshness=late)
 
 
 def player(customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -188,6 +195,17 @@ def property_(region: DataFrame) -> DataFrame:
     )
 
 
+def with_second_cards(landed: LazyTables) -> LazyTables:
+    """The landed tables where every tenth member holds a second card, on which a third of the comps were given."""
+    second = "member_id % 10 = 0"
+    makers = {name: lambda name=name: landed[name] for name in landed}
+    makers["member"] = lambda: landed["member"].unionByName(
+        landed["member"].where(second).withColumn("member_id", F.col("member_id") + 1_000_000))
+    makers["comp"] = lambda: landed["comp"].withColumn(
+        "member_id", F.expr(f"IF({second} AND comp_id % 3 = 0, member_id + 1000000, member_id)"))
+    return LazyTables(makers)
+
+
 def landed_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     """The eleven landed tables over the sample tables in ``sf_dir``, each built on first use."""
     reg = registry(sf_dir)

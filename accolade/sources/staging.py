@@ -51,7 +51,8 @@ SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
 
 
 def _landed(name: str, raw: DataFrame, policy: Policy) -> DataFrame:
-    return select_normalized(live_rows(raw, policy.deleted_flag), SOURCE_COLUMNS[name])
+    required = SOURCE_SYSTEMS[name] in policy.deleted_flag_required
+    return select_normalized(live_rows(raw, policy.deleted_flags, required), SOURCE_COLUMNS[name])
 
 
 def _false_if_null(df: DataFrame, *flags: str) -> DataFrame:

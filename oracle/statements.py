@@ -246,6 +246,18 @@ CTES: dict[str, str] = {
                sum(CASE WHEN comp_date > {AS_OF} - 30 THEN comp_amount ELSE 0 END) AS comps_window_usd,
                max(comp_date) AS last_comp_date
         FROM q_comp JOIN q_member USING (member_id) WHERE comp_date <= {AS_OF} GROUP BY player_id""",
+    "q_member_cards": """
+        SELECT member_id, player_id FROM q_member
+        UNION ALL SELECT member_id + 1000000, player_id FROM q_member WHERE member_id % 10 = 0""",
+    "q_comp_cards": """
+        SELECT CASE WHEN member_id % 10 = 0 AND comp_id % 3 = 0 THEN member_id + 1000000 ELSE member_id END AS member_id,
+               comp_date, comp_amount
+        FROM q_comp""",
+    "q_spent_cards": f"""
+        SELECT player_id, sum(CASE WHEN comp_date > {AS_OF} - 14 THEN comp_amount ELSE 0 END) AS comps_cooldown_usd,
+               sum(CASE WHEN comp_date > {AS_OF} - 30 THEN comp_amount ELSE 0 END) AS comps_window_usd,
+               max(comp_date) AS last_comp_date
+        FROM q_comp_cards JOIN q_member_cards USING (member_id) WHERE comp_date <= {AS_OF} GROUP BY player_id""",
     # --- guest 360 --------------------------------------------------------------------------
     "q_snapshot": f"""
         SELECT * FROM q_totals WHERE activity_date <= {AS_OF}
@@ -571,7 +583,7 @@ def _report() -> str:
         _where_row("reward_within_budget", "recommendations", "q_rec",
                    "approved_reward_usd > greatest(remaining_budget_usd, 0)"),
         _where_row("script_match", "recommendations", "q_rec",
-                   "recommendation_status = 'RG_CHECK_IN' AND talking_point NOT LIKE '%quiet spot to take a break%'"),
+                   "recommendation_status = 'RG_CHECK_IN' AND talking_point NOT LIKE '%play limits and time-outs%'"),
         _null_row("daily_worklist", "q_worklist", "recommendation_id"),
         _null_row("daily_worklist", "q_worklist", "player_id"),
         _unique_row("daily_worklist", "q_worklist", "recommendation_id"),
@@ -608,6 +620,11 @@ def oracle_sql() -> dict[str, str]:
         "table_sink_roundtrip": _with(
             "SELECT check_status, count(*) AS n, CAST(sum(subtotal) AS DOUBLE) AS subtotal FROM q_check GROUP BY 1"),
         "source_freshness": FRESH,
+        "staging_views": _with(
+            "SELECT player_status, count(*) AS n_guests, count(member_id) AS n_members "
+            "FROM q_player LEFT JOIN q_member USING (player_id) GROUP BY player_status"),
+        "clock_day": _pick(
+            "player_id:b activity_date:t visit_flag:b", f"q_activity WHERE activity_date = {AS_OF}"),
         "stage_projection": _pick(
             "jackpot_id:b player_id:b full_name:s is_vip:f gaming_date:t jackpot_amount:d",
             "q_jackpot JOIN q_player USING (player_id)"),
@@ -684,7 +701,7 @@ def oracle_sql() -> dict[str, str]:
         "dq_script_match": _pick(
             "recommendation_id:s player_id:b talking_point:s",
             "q_unguarded WHERE recommendation_status = 'RG_CHECK_IN' "
-            "AND NOT contains(talking_point, 'quiet spot to take a break')"),
+            "AND NOT contains(talking_point, 'play limits and time-outs')"),
         "dq_excludes_ineligible": _pick(
             "player_id:b ineligible_reason:s", "q_rec JOIN q_guest USING (player_id) WHERE NOT is_eligible"),
         "dq_report": _report(),
@@ -701,7 +718,7 @@ def oracle_sql() -> dict[str, str]:
         "baseline_anomaly": _pick(
             "player_id:b recent_loss_usd:d max_minutes_in_a_day:b avg_daily_loss_90d:d rg_review_flag:f rg_reason:s",
             "q_signal"),
-        "comp_budget": _pick("player_id:b comps_cooldown_usd:d comps_window_usd:d last_comp_date:t", "q_spent"),
+        "comp_budget": _pick("player_id:b comps_cooldown_usd:d comps_window_usd:d last_comp_date:t", "q_spent_cards"),
         "favorite_game": _pick("player_id:b favorite_game_category:s", "q_favorite_game"),
         "favorite_outlet": _pick("player_id:b favorite_outlet_name:s favorite_outlet_type:s", "q_favorite_outlet"),
         "property_today": _pick("player_id:b property_id:b", "q_property_today"),

@@ -141,7 +141,25 @@ def test_large_catalogs_are_salted_not_broadcast(spark):
     small = RU.cross_thresholds(events, rules)
     salted = RU.cross_thresholds(events, rules, max_broadcast_rows=1, salts=4)
     assert rows(small) == rows(salted.select(*small.columns))
-    assert RU.highest_per_family(salted).count() == RU.highest_per_family(small).count()
+    whole = RU.milestones(events, rules)
+    assert rows(whole) == rows(RU.milestones(events, rules, max_broadcast_rows=1))
+    assert "SortAggregate" not in whole._jdf.queryExecution().executedPlan().toString()
+    best = {}
+    for r in small.collect():
+        key = (r["player_id"], r["milestone_family"], r["event_date"])
+        best[key] = min(best.get(key, (0.0, "~", 0.0)), (-r["threshold"], r["rule_id"], -r["metric_value"]))
+    assert rows(whole, "player_id", "milestone_family", "event_date", "rule_id", "achieved_value") == sorted(
+        ((*k, i, -v) for k, (_, i, v) in best.items()), key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_a_family_of_several_metrics(spark):
+    rule = dict(lead_days=0, recognition_window_days=5, reward_type="PersonalNote", reward_budget_usd=1.0, action_owner="h",
+                priority_weight=1, recommended_action="a", talking_point="t", milestone_name="n", is_active=1, milestone_family="F")
+    rules = spark.createDataFrame([{**rule, "rule_id": i, "metric_name": m, "threshold": t} for i, m, t in (
+        ("P", "m", 10.0), ("Q", "k", 20.0), ("R", "k", 20.0))], readers.RULE_SCHEMA)
+    events = event_frame(spark, [(1, AS_OF, "m", 900.0, 0.0), (1, AS_OF, "k", 21.0, 0.0), (2, AS_OF, "m", 11.0, 0.0)])
+    got = rows(RU.milestones(events, rules), "player_id", "rule_id", "achieved_value")
+    assert got == [(1, "Q", 21.0), (2, "P", 11.0)]
 
 
 def test_actionable_window_edges(spark):
@@ -233,7 +251,7 @@ def test_lookup_join_with_a_hot_key(spark, how, share):
         "id", F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 != 1, F.col("id")).alias("k")
     )
     lookup = spark.range(0, 700).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    got = J.lookup_join(facts, lookup, "k", how, share)
+    got = J.lookup_join(facts, lookup, "k", how, J.hot_keys(facts, "k", share))
     assert rows(got, "id", "k", "v") == rows(facts.join(lookup, "k", how), "id", "k", "v")
     hot = J.hot_keys(facts, "k", 0.2)
     assert hot == [0]
@@ -257,7 +275,7 @@ def test_business_rule_checks_find_planted_rows(spark):
     recs = spark.createDataFrame(
         [("ok", 1, False, "GamingOffer", 5.0, 10.0, "RECOMMEND", "hello"),
          ("offer", 2, True, "GamingOffer", 0.0, 10.0, "INELIGIBLE", "hello"),
-         ("money", 3, True, "PersonalNote", 1.0, 10.0, "RG_CHECK_IN", "a quiet spot to take a break?"),
+         ("money", 3, True, "PersonalNote", 1.0, 10.0, "RG_CHECK_IN", f"about {POLICY.check_in_phrase}?"),
          ("over", 4, False, "NonGaming", 20.0, -10.0, "RECOMMEND", "hello"),
          ("script", 5, True, "PersonalNote", 0.0, 10.0, "RG_CHECK_IN", "well done!")],
         "recommendation_id string, player_id long, rg_review_flag boolean, final_reward_type string, "
@@ -286,6 +304,12 @@ def test_live_rows(spark):
     assert rows(readers.live_rows(df), "id") == [(2,), (3,)]
     assert readers.live_rows(df.drop("_deleted")).count() == 3
     assert rows(readers.live_rows(df.withColumnRenamed("_deleted", "gone"), "gone"), "id") == [(2,), (3,)]
+    for name in ("IsDeleted", "_LOADER_DELETED", "_deleted"):
+        assert rows(readers.live_rows(df.withColumnRenamed("_deleted", name), POLICY.deleted_flags), "id") == [(2,), (3,)]
+    both = df.withColumn("is_deleted", F.col("id") == 2)
+    assert rows(readers.live_rows(both, POLICY.deleted_flags, required=True), "id") == [(3,)]
+    with pytest.raises(ValueError, match="soft-delete"):
+        readers.live_rows(df.drop("_deleted"), POLICY.deleted_flags, required=True)
 
 
 @pytest.mark.parametrize("hours,status", [(2, "pass"), (2.5, "warn"), (24, "warn"), (24.1, "error")])

@@ -7,13 +7,16 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from accolade.plans import catalog
+from oracle import statements
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.queries()
+SQL = statements.oracle_sql()
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -8,7 +8,7 @@ from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 from accolade.plans import catalog
-from accolade.plans.activity import guest_activity, on_days
+from accolade.plans.activity import guest_activity, on_days, runs_of
 from accolade.plans.pipeline import Recognition
 from accolade.policy import Policy
 from accolade.sources import sample
@@ -78,3 +78,43 @@ def test_a_day_that_loses_all_rows_is_emptied(spark, tmp_path):
     none = {n: df.limit(0) if n in ("player_session", "check", "reservation", "jackpot") else df for n, df in tables.items()}
     RF.refresh_days(none, [day], stored, POLICY)
     assert RF.read_days(spark, stored).count() == 0
+
+
+def _moved(tables):
+    """Sessions moved by a day, and a card that changed hands."""
+    moved, card = F.col("SessionID") % 97 == 5, F.col("member_id") == 100_010
+    sessions = tables["player_session"].withColumn("GamingDate", F.when(moved, F.date_add("GamingDate", 1)).otherwise(F.col("GamingDate")))
+    members = tables["member"].withColumn("player_id", F.when(card, F.lit(11).cast("bigint")).otherwise(F.col("player_id")))
+    return {**tables, "player_session": sessions, "member": members}, sessions.where(moved), members.where(card)
+
+
+def test_moved_rows_and_members_equal_a_full_rebuild(spark, tmp_path):
+    tables = dict(sample.landed_tables(spark, SMALL))
+    stored, places = str(tmp_path / "days"), str(tmp_path / "places")
+    RF.write_days(guest_activity(stage_all(tables, POLICY), POLICY), stored)
+    RF.write_row_days(tables, places, POLICY)
+    after, sessions, members = _moved(tables)
+    for name, changed in (("player_session", sessions), ("member", members)):
+        old = spark.read.parquet(places)
+        RF.refresh_days(after, RF.touched_days(changed, name, POLICY, old), stored, POLICY)
+    whole = guest_activity(stage_all(after, POLICY), POLICY)
+    assert rows(RF.read_days(spark, stored).select(*whole.columns)) == rows(whole)
+
+
+def test_files_per_day_are_bounded(spark, tmp_path):
+    stored = tmp_path / "days"
+    few = spark.range(20 * 500).selectExpr("date_add(DATE'2000-01-01', int(id % 20)) AS activity_date", "id AS player_id")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        RF.write_days(few, str(stored))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(list(stored.glob("activity_date=*/*.parquet"))) <= 64 + 20
+
+
+def test_raw_ranges_follow_runs_of_days():
+    day = lambda n: dt.date(2000, 1, 1) + dt.timedelta(days=n)
+    assert runs_of([day(3), day(-700), day(1), day(2), day(5)]) == [(day(-700), day(-700)), (day(1), day(3)), (day(5), day(5))]
