@@ -8,7 +8,6 @@ only; sums are taken in DECIMAL and widened at the very end, so they do not depe
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -122,7 +121,7 @@ def budget_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks written partitioned by status, read back and summed."""
     checks = recognition_run(spark, sf_dir).staged["check"].select("check_id", "check_status", "subtotal")
-    path = f"{sinks.shared_folder(spark)}/accolade/checks-{uuid.uuid4().hex}"
+    path = sinks.fresh_path(spark, "checks")
     sinks.write_table(checks, path, ["check_status"])
     back = spark.read.parquet(path)
     return published(back.groupBy("check_status").agg(F.count("*").alias("n"), F.sum("subtotal").alias("subtotal")))

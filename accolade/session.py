@@ -13,8 +13,11 @@ SCALE_SETTINGS = {
 }
 
 
-def local_session(cpus: int = 8, app: str = "accolade") -> SparkSession:
-    """A session on this machine: as many shuffle partitions as threads, no web page."""
+def local_session(cpus: int = 8, app: str = "accolade", folder: str | None = None) -> SparkSession:
+    """A session on this machine: as many shuffle partitions as threads, no web page.
+
+    ``folder`` takes the place of ``spark.checkpoint.dir`` where that is not set.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.ui.enabled", "false")
@@ -28,4 +31,6 @@ def local_session(cpus: int = 8, app: str = "accolade") -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if folder and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(folder)
     return spark

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,21 +45,26 @@ def save_table(
     return spark.table(name)
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+#: Folders that ``cut`` and its callers wrote in this process, oldest first.
+_WRITTEN: list[str] = []
+#: Holds the catalog entry of a bucketed cut while it is written; never the user's own schema.
+SCRATCH_SCHEMA = "accolade_scratch"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
-
-    Only where that is unset and the master is local, as in tests, a folder of this machine
-    is taken.
-    """
+    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session, or the checkpoint
+    folder the caller set on its context.  None is made up."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by driver and executors")
-    return _LOCAL_FOLDERS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="accolade-"))
+    return configured.rstrip("/")
+
+
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new folder name in the shared folder, which ``release`` removes."""
+    path = f"{shared_folder(spark)}/accolade/{label}_{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
 
 
 def cut(df: DataFrame, label: str, bucket_by: str | None = None, sort_by: Sequence[str] = ()) -> DataFrame:
@@ -67,14 +72,35 @@ def cut(df: DataFrame, label: str, bucket_by: str | None = None, sort_by: Sequen
 
     The lineage ends at a columnar table that survives lost executors, and each reader of it
     prunes to its own columns.  With ``bucket_by``, later groupings, windows and joins on
-    that key need no exchange.  The table's catalog entry is dropped again; its files stay.
+    that key need no exchange.  The files stay until ``release`` or the end of a ``scratch``
+    block, since results may still be read from them.
     """
     spark = df.sparkSession
-    name = f"accolade_{label}_{uuid.uuid4().hex}"
-    path = f"{shared_folder(spark)}/accolade/{name}"
+    path = fresh_path(spark, label)
     if not bucket_by:
         write_table(df, path)
         return spark.read.schema(df.schema).parquet(path)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SCRATCH_SCHEMA}")
+    name = f"{SCRATCH_SCHEMA}.{path.rpartition('/')[2]}"
     stored = save_table(df, name, bucket_by, sort_by, path=path)
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP TABLE {name}")  # the plan holds files and buckets; the entry is not needed to read them
     return stored
+
+
+def release(spark: SparkSession, paths: Sequence[str] | None = None) -> None:
+    """Remove folders of cuts, by default all of this process; results that read them end with it."""
+    for path in list(_WRITTEN if paths is None else paths):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what was cut inside: for runs whose results are stored or collected there."""
+    before = set(_WRITTEN)
+    try:
+        yield
+    finally:
+        release(spark, [p for p in _WRITTEN if p not in before])

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -65,7 +66,7 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> str | None:
 def session():
     from accolade.session import local_session
 
-    return local_session(app="accolade-compare")
+    return local_session(app="accolade-compare", folder=tempfile.mkdtemp(prefix="accolade-tests-"))
 
 
 def main(argv: list[str]) -> int:

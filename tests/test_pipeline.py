@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from accolade import policy as P
 from accolade.plans import catalog
-from accolade.plans.pipeline import Recognition, TablesKept, build, cutting, publish_staging
+from accolade.plans.pipeline import ChecksFailed, Recognition, TablesKept, build, cutting, publish_staging
 from accolade.policy import Policy
 from accolade.sources import readers, sinks
 from accolade.sources.staging import SOURCE_COLUMNS
@@ -204,7 +204,8 @@ def test_catalog_build_equals_the_lazy_run(spark):
     assert rows(spark.table(f"{prefix}_recognition.daily_worklist")) == rows(lazy.worklist)
     assert rows(spark.table(f"{prefix}_recognition.guest_360")) == rows(lazy.guest_360)
     tables = {t.name for t in spark.catalog.listTables(f"{prefix}_intermediate")}
-    assert {"guest_activity_daily", "guest_metric_events", "guest_rg_signals", "guest_comp_budget"} <= tables
+    assert {"guest_activity_daily", "guest_metric_events", "guest_rg_signals", "guest_comp_budget",
+            "guest_visit_streaks"} <= tables
     stored = spark.table(f"{prefix}_intermediate.guest_activity_daily")
     by_guest = stored.groupBy("player_id").agg(F.sum("visit_flag"))
     assert "Exchange" not in by_guest._jdf.queryExecution().executedPlan().toString()
@@ -220,10 +221,39 @@ def test_cut_is_bucketed_and_leaves_no_catalog_entry(spark):
     assert rows(r.activity) == rows(catalog.recognition_run(spark, SMALL).activity)
 
 
+def test_a_run_leaves_nothing_behind(spark):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sinks.shared_folder(spark) + "/accolade")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    listing = lambda: {f.getPath().getName() for f in files.listStatus(folder)} if files.exists(folder) else set()
+    before = listing()
+    with sinks.scratch(spark):
+        assert catalog.queries()["running_totals"](spark, SMALL).count() > 0
+        r = catalog.recognition_run(spark, SMALL, cutting("guest_activity_daily", "guest_metric_events"))
+        assert r.metric_events.count() > 0 and listing() > before
+    assert listing() == before
+
+
 def test_event_date_bound_reaches_the_scan(spark):
-    plan = catalog.recognition_run(spark, SMALL).recommendations._jdf.queryExecution().executedPlan().toString()
+    """The guests of the window are found by a range that the scan of the stored days gets."""
+    with sinks.scratch(spark):
+        r = catalog.recognition_run(spark, SMALL, cutting("guest_activity_daily"))
+        plan = r.recommendations._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
-    assert "2000-03-01" in plan  # as-of minus the widest rule window, as a literal
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "GreaterThanOrEqual(activity_date,2000-03-01)" in line]
+    assert pushed
+
+
+def test_a_failed_check_keeps_the_old_worklist(spark):
+    with sinks.scratch(spark):
+        r = catalog.recognition_run(spark, SMALL, cutting("guest_activity_daily", "recommendations"))
+        recs = r.recommendations
+        r.__dict__["recommendations"] = recs.withColumn("approved_reward_usd", F.col("approved_reward_usd") + 10_000.0)
+        with pytest.raises(ChecksFailed, match="recommendations.reward_within_budget"):
+            build(r, ["worklist"])
+        assert "worklist" not in r.__dict__
+        r.__dict__["listed"] = r.listed.unionByName(r.listed)
+        with pytest.raises(ChecksFailed, match="daily_worklist.unique"):
+            build(r, ["worklist"], warn_only=["recommendations.reward_within_budget"])
 
 
 def test_registry_names_paths_and_identifiers():
