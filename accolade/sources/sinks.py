@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -51,13 +52,26 @@ _WRITTEN: list[str] = []
 SCRATCH_SCHEMA = "accolade_scratch"
 
 
+#: Folder of each local application that named none.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session, or the checkpoint
-    folder the caller set on its context.  None is made up."""
+    folder the caller set on its context.
+
+    Only where neither is set and the master is local, as in tests, one folder of this machine
+    is made for the application; a cluster session has to name its own.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not configured:
+    if configured:
+        return configured.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by driver and executors")
-    return configured.rstrip("/")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="accolade-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
