@@ -11,9 +11,9 @@ differ with probability (1 - 0.75 ** 3) ** 28, about 2e-7.
 2. A bucket is a band value that several nodes share.  Each node is compared with the smallest
    node of each of its buckets: full sets meet by joins, and 100 * intersection >= 75 * union
    links them.  Linked nodes form components.
-3. Two members of a bucket in different components may still be linked.  In rounds, up to
-   ``PIVOTS`` members of a bucket outside its first component are compared with all members
-   of other components; then they have met everyone and leave the bucket.  The rounds end when
+3. Two members of a bucket in different components may still be linked.  In rounds, ``PIVOTS``
+   or more members of a bucket outside its first component are compared with all members of
+   other components; then they have met everyone and leave the bucket.  The rounds end when
    no bucket holds two components, so every pair that shares a bucket has been compared or is
    connected.
 
@@ -182,8 +182,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         F.min("doc").alias("least_doc"), F.min("body").alias("body"), F.min("n").alias("n"), F.first("bands").alias("bands"))
     spread = nodes.select(F.explode("bands").alias("bucket"), "node", "n")
     shared = spread.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = cut(spread.join(shared.select(F.col("bucket").alias("at"), "leader"), F.col("bucket") == F.col("at"))
-                  .select("bucket", "node", "n", "leader"), "members")
+    shared = cut(shared.select(F.col("bucket").alias("at"), "leader"), "shared")  # a join side of its own: hot buckets are split
+    members = cut(spread.join(shared, F.col("bucket") == F.col("at")).select("bucket", "node", "n", "leader"), "members")
+    allowed = members.count() // 8
     wanted = nodes.select(F.col("node").alias("own"), "body").join(members.select("node").distinct(), F.col("own") == F.col("node")).select("node", "body")
     sets = cut(_sets(docs, wanted, text), "sets")
 
@@ -194,10 +195,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     labels = components(links)
     left = members.select("bucket", "node", "n")
     while True:
-        found = _residual_pairs(left, labels, share)
+        found = _residual_pairs(left, labels, share, allowed)
         if found is None:
             break
-        pairs, left = found
+        pairs, left, nodes_left = found
+        # from here on only the sets of mixed buckets travel, fewer in each round
+        sets = cut(sets.join(nodes_left, F.col("node") == F.col("of"), "left_semi"), "sets_left")
         more = cut(_links(pairs, sets, share), "near_links")
         if not more.isEmpty():
             labels = components(labels.unionByName(more))
@@ -214,23 +217,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     )
 
 
-def _residual_pairs(left: DataFrame, labels: DataFrame, share: int) -> tuple[DataFrame, DataFrame] | None:
-    """Pairs of this round and what stays in the buckets after it; None when no bucket is mixed."""
+def _residual_pairs(left: DataFrame, labels: DataFrame, share: int, allowed: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Pairs of this round, what stays in the buckets after it, and the nodes of both; None when no bucket is mixed.
+
+    A round makes ``PIVOTS`` pairs a member, or ``allowed`` pairs in all if that is more, so the last
+    mixed buckets do not take a round for every few members.
+    """
     named = left.join(labels.select(F.col("u").alias("of"), "v"), F.col("node") == F.col("of"), "left")
     named = named.select("bucket", "node", "n", F.coalesce("v", "node").alias("root"))
     mixed = named.groupBy("bucket").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one != other")
-    rest = cut(named.join(mixed.select(F.col("bucket").alias("at"), "one"), F.col("bucket") == F.col("at")).drop("at"), "mixed")
-    if rest.isEmpty():
+    mixed = cut(mixed.select(F.col("bucket").alias("at"), "one"), "mixed_buckets")
+    rest = cut(named.join(mixed, F.col("bucket") == F.col("at")).drop("at"), "mixed")
+    rows = rest.count()
+    if not rows:
         return None
+    most = max(PIVOTS, allowed // rows)
     order = Window.partitionBy("bucket").orderBy("node")
-    pivots = rest.where(F.col("root") != F.col("one")).withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= PIVOTS)
+    pivots = rest.where(F.col("root") != F.col("one")).withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= most)
     pivots = cut(pivots.select(
         F.col("bucket").alias("at"), F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("root").alias("pivot_root")), "pivots")
     met = rest.join(pivots, F.col("bucket") == F.col("at"))
     met = met.where((F.col("root") != F.col("pivot_root")) & _may_link("n", "pivot_n", share))
     pairs = met.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct()
     done = [F.col("bucket") == F.col("at"), F.col("node") == F.col("pivot")]
-    return cut(pairs, "pairs"), rest.join(pivots, done, "left_anti").select("bucket", "node", "n")
+    rest_nodes = rest.select(F.col("node").alias("of")).distinct()
+    return cut(pairs, "pairs"), rest.join(pivots, done, "left_anti").select("bucket", "node", "n"), rest_nodes
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
