@@ -227,7 +227,7 @@ def _counted_windows(segments: DataFrame, span: int) -> DataFrame:
 def repeats(texts: DataFrame, span: int = SPAN, gram: int = GRAM, most_segments: int = MOST_SEGMENTS) -> DataFrame:
     """(body, lo, hi): for each text, runs [lo, hi) of starts of repeated windows; they may overlap."""
     often = _anchors(texts, span, gram).groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    often = often.select(F.col("anchor").alias("again"))
+    often = cut(often.select(F.col("anchor").alias("again")), "often")  # a join side of its own, so that Spark can split hot anchors
     places = cut(_places(texts, span, gram).join(often, F.col("anchor") == F.col("again")).drop("again"), "places")
     kinds = places.groupBy("anchor").agg((F.min("segment") != F.max("segment")).alias("mixed"))
     kinds = cut(kinds.where("mixed").select(F.col("anchor").alias("of")), "mixed")
