@@ -1,6 +1,6 @@
 """Toxicity scores from a factorization machine over hashed terms.
 
-A text is the set of its lower-cased words and of their beginnings of 4 to 6 letters, each hashed
+A text is the set of its lower-cased words and of their beginnings of 4 to 8 letters, each hashed
 to 32 bits; beginnings make inflected and compounded forms share terms.  The machine has a
 weight for each term it keeps and a vector of ``FACTORS`` numbers whose inner products weigh
 every pair of terms in a text, so a pair can count more or less than its two terms do alone.
@@ -32,7 +32,7 @@ from accolade.llm.common import bounded_batches, over_batches
 
 FACTORS = 8
 MOST_ROWS, MOST_TERMS, LEAST_TEXTS = 20_000, 4096, 4
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
 #: Most words whose kept terms a task keeps at hand.
 WORDS_KEPT = 500_000
@@ -154,7 +154,7 @@ def train(
     n, toxic = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     counted = _counts(texts).where((F.col("texts") >= LEAST_TEXTS) & (F.col("texts") < n))
     told = counted.withColumn("told", _ratio(F.col("toxic"), F.col("texts"), toxic, n))
-    limit = 2 * math.log(max(2, counted.count())) + 4  # what chance alone reaches for hardly any of so many terms
+    limit = 2 * math.log(max(2, counted.count()))  # what chance alone reaches for about one of so many terms
     best = told.where(F.col("told") > limit).orderBy(F.desc("told"), "term").select("term").limit(most_terms)
     terms = np.sort(np.array([r["term"] for r in best.collect()], np.int64))
     kept = texts.select("text", "toxic")
