@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accolade.llm.common import bounded_batches, over_batches, rank_within, shuffle_partitions
-from accolade.llm.tokens import WordIds, texts_of, word_bpe_path
+from accolade.llm.tokens import texts_of, word_bpe_path, word_ids
 from accolade.sources.sinks import cut
 
 CAPACITY, END_ID = 4096, 2
@@ -71,7 +71,7 @@ def pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def make():
-        words = WordIds(tokenizer)
+        words = word_ids(tokenizer)
 
         def step(batch):
             keys, rows = batch.column(0), []

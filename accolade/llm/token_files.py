@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accolade.llm.common import bounded_batches, over_batches, shuffle_partitions
-from accolade.llm.tokens import WordIds, texts_of, word_bpe_path
+from accolade.llm.tokens import texts_of, word_bpe_path, word_ids
 from accolade.sources.sinks import shared_folder
 
 END_ID = 2
@@ -129,7 +129,7 @@ def _blocks(kind: str, tokenizer: str, end_id: int, width: int, block_bytes: int
     def run(batches):
         from pyspark import TaskContext
 
-        words, shard = WordIds(tokenizer, f"<u{width}"), TaskContext.get().partitionId()
+        words, shard = word_ids(tokenizer, f"<u{width}"), TaskContext.get().partitionId()
         end = np.array([end_id], f"<u{width}").tobytes()
         keys, bodies, size, block, before, arrow = [], [], 0, 0, 0, None
 
