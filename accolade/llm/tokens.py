@@ -10,7 +10,7 @@ import pyarrow as pa
 
 #: Words whose ids a worker process keeps at hand, in two halves: when the newer is full, the
 #: older is given up, so words that come back often stay.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 800_000
 #: Trailing marks that this tokenizer always splits from letters.  The apostrophe (contractions)
 #: and the signs in names of special tokens are left out.
 MARKS = ".,;:!?*&$%#@\"()"
