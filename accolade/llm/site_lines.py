@@ -2,7 +2,10 @@
 
 A line is boilerplate of a site when the share of the site's pages that contain it exceeds a
 ratio, and at least ``least_pages`` pages do, so that small sites keep their lines.  A line is
-compared without white space at its ends; blank lines are kept and never counted.
+compared without white space at its ends; blank lines are kept and never counted.  With ``once``
+each distinct text of a site is one page, in both counts, so that copies of a page do not make its
+own lines boilerplate; they are told apart by an aggregate over (site, text), which combines
+copies before the shuffle.
 
 Pages count a line once, and (site, line) counts combine before the shuffle, so a hot site or a
 hot line arrives as one row a task.  A site has at most (lines of an average page) / ratio
@@ -11,7 +14,7 @@ which pages join on the site.  Spark splits the page side of a hot site, whose o
 one row.  Texts pass one shuffle, or none where Spark finds the sites small enough to broadcast.
 
 Defined results: a null text stays null and counts as a page; pages without a site (null) form
-a site; repeated rows and keys are pages of their own; an empty table gives an empty result;
+a site; repeated rows and keys are pages of their own (with ``once``, if their texts differ); an empty table gives an empty result;
 all further columns are passed through.
 """
 
@@ -32,11 +35,13 @@ def _key(line: Column) -> Column:
 
 
 def boilerplate(
-    pages: DataFrame, site: str | Column = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    pages: DataFrame, site: str | Column = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES,
+    once: bool = False,
 ) -> DataFrame:
     """Lines to drop: (site, line, pages, site_pages, share)."""
     own = F.col(site) if isinstance(site, str) else site
     rows = pages.select(own.alias("site"), F.col(text).alias("text"))
+    rows = rows.distinct() if once else rows
     each = rows.select(
         "site", F.explode(F.array_distinct(F.transform(lines_of(F.col("text")), _key))).alias("line")
     ).where(F.col("line") != "")
@@ -50,14 +55,15 @@ def boilerplate(
 
 
 def drop_lines(
-    pages: DataFrame, site: str | Column = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    pages: DataFrame, site: str | Column = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES,
+    once: bool = False,
 ) -> DataFrame:
     """All pages without their boilerplate lines.
 
     Adds ``lines_`` and ``dropped_``, the numbers of lines before and of lines dropped.
     """
     own = F.col(site) if isinstance(site, str) else site
-    bad = boilerplate(pages, site, text, ratio, least_pages).groupBy("site").agg(F.collect_set("line").alias("bad"))
+    bad = boilerplate(pages, site, text, ratio, least_pages, once).groupBy("site").agg(F.collect_set("line").alias("bad"))
     passed = [f"column{i}" for i, _ in enumerate(pages.columns)]  # names that cannot clash
     inner = pages.select(
         *[F.col(c).alias(p) for c, p in zip(pages.columns, passed, strict=True)], own.alias("site"),

@@ -41,7 +41,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _documents(site_lines.drop_lines(docs.select(*COLUMNS), site="source"))
+    return _documents(site_lines.drop_lines(docs.select(*COLUMNS), site="source", once=True))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

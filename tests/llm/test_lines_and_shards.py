@@ -11,6 +11,7 @@ import pytest
 from conftest import SMALL
 from edge import EDGE, edge_docs, empty_docs, texts
 
+import corpus_pipeline
 from accolade.llm import interleave_shards, queries, site_lines
 
 
@@ -38,6 +39,17 @@ def test_lines_edges(spark):
     assert site_lines.drop_lines(empty_docs(spark)).count() == 0
 
 
+def test_copies_of_a_page_are_one_page_in_the_pipeline(spark):
+    rows = [(i, "first of the copies\nsecond\nmenu", "en", "a", 1) for i in range(30)]
+    rows += [(100 + i, f"own {i}\nmenu", "en", "a", 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_site_lines(spark, df, SMALL).collect()}
+    assert {got[i] for i in range(30)} == {"first of the copies\nsecond"}
+    assert all(got[100 + i] == f"own {i}" for i in range(20))
+    share = {r["line"]: (r["pages"], r["site_pages"]) for r in site_lines.boilerplate(df, once=True).collect()}
+    assert share == {"menu": (21, 21)}
+
+
 def brute_shards(docs, shards):
     number = lambda v: int(hashlib.md5(f"2026:{'' if v is None else v}".encode()).hexdigest()[:15], 16)
     by = defaultdict(list)
