@@ -2,11 +2,15 @@
 
 For each of several curves the vectors are projected by a random rotation to a few dimensions,
 shifted, cut into a grid and keyed by their place on the Hilbert curve through it.  Spark range
-partitions and sorts the rows of all curves by (curve, key); each run of consecutive rows is one
-block.  A query's own key falls into a block, and its candidates on that curve are the blocks
+partitions and sorts the vectors of all curves by (curve, key); each run of consecutive vectors is
+one block.  A query's own key falls into a block, and its candidates on that curve are the blocks
 in a window around it.  Candidates are scored by the inner product in double precision, the
 windows of all curves merge, and the k best remain.
 
+Equal vectors are one entry of a curve, which carries the k + 1 of its rows with the smallest ids:
+no query can need more of them.  Queries with equal vectors ask once, for k + 1 rows, and each
+leaves out its own.
+
 For the largest inner product, candidates carry one more component that brings all of them to
 one length, and queries a zero; then the nearest vector is the one with the largest product.
 
@@ -14,8 +18,8 @@ The window is a share of the curve's blocks.  The share decides recall: vectors
 little, directionless ones much (README gives measured figures).
 
 Bounds: blocks hold up to ``block`` vectors; a table of T vectors has T / block blocks for each
-curve, whose numbering is the only thing that one task orders.  Equal vectors have equal keys and
-are told apart by their row, so a hot vector fills many blocks.
+curve, whose numbering is the only thing that one task orders.  The rows of a hot vector are cut
+to k + 1 in ``SALTS`` parts before they meet.
 
 Defined results: vectors that are null, empty, all zero, or hold null or non-finite components
 take no part; vectors are compared with those of the commonest length, others take no part; a
@@ -34,12 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from accolade.llm.common import bounded_batches, shuffle_partitions
-from accolade.llm.vectors import NO_ID, best, first_k, is_query, numbered
+from accolade.llm.vectors import NO_ID, best, is_query, numbered
 from accolade.sources.sinks import cut
 
 CURVES, DIMENSIONS, BITS = 8, 8, 7
 WINDOW_SHARE = 0.2
 MOST_IN_BLOCK, LEAST_BLOCKS = 2048, 64
+SALTS = 16
 SEED = 20260101
 
 
@@ -81,34 +86,60 @@ def curve_keys(vectors: np.ndarray, extra: np.ndarray, longest: float, curve: in
     return hilbert_key((np.clip(at, 0, 1 - 1e-9) * (1 << BITS)).astype(np.int64), BITS)
 
 
-def _keyed(rows: DataFrame, longest: float, every_nth: int, width: int) -> DataFrame:
-    """Each vector once a curve as candidate and, if it is one, once as query."""
-    flagged = rows.select("row", "id", is_query(every_nth).alias("asks"), F.col("vec").cast("array<double>").alias("vec"))
+def _marked(rows: DataFrame, every_nth: int) -> DataFrame:
+    """(row, id, asks, vec, mark): vectors in double precision, equal ones (0 and -0 are equal) with equal marks."""
+    exact = F.transform("vec", lambda x: x.cast("double") + F.lit(0.0))
+    marked = rows.select("row", "id", is_query(every_nth).alias("asks"), exact.alias("vec"))
+    return marked.withColumn("mark", F.unhex(F.md5(F.array_join(F.transform("vec", lambda x: x.cast("string")), ",").cast("binary"))))
+
+
+def _entries(marked: DataFrame, k: int) -> DataFrame:
+    """(mark, vec, rows, ids, asks): each vector once with the ``k + 1`` of its rows whose ids are smallest."""
+    few = marked.drop("asks").withColumn("salt", F.col("row") % SALTS)
+    for keys in (["mark", "salt"], ["mark"]):
+        order = Window.partitionBy(*keys).orderBy(F.col("id").asc_nulls_last(), "row")
+        few = few.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= k + 1)
+    member = F.struct("row", F.coalesce("id", F.lit(int(NO_ID))).alias("id"))
+    entries = few.groupBy("mark").agg(F.first("vec").alias("vec"), F.collect_list(member).alias("members"))
+    asking = marked.where("asks").select(F.col("mark").alias("asking")).distinct()
+    return entries.join(asking, F.col("mark") == F.col("asking"), "left").select(
+        "mark", "vec", F.col("members.row").alias("rows"), F.col("members.id").alias("ids"), F.col("asking").isNotNull().alias("asks"))
+
+
+def _keyed(entries: DataFrame, longest: float, width: int) -> DataFrame:
+    """Each vector once a curve as candidate and, if rows with it are queries, once as query."""
 
     def keys(batches):
         for batch in batches:
-            vectors = batch.column(3).flatten().to_numpy().reshape(batch.num_rows, width)
+            vectors = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, width)
             norms = np.minimum(np.linalg.norm(vectors, axis=1), longest)
-            asks = np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False))
+            asks = np.flatnonzero(batch.column(4).to_numpy(zero_copy_only=False))
             lift = np.sqrt(np.maximum(longest**2 - norms**2, 0))
             scaled = vectors[asks] * (longest / norms[asks])[:, None]
+            body = pa.array([v.astype("<f8").tobytes() for v in vectors], pa.binary())
             for curve in range(CURVES):
                 for asked, some, key in ((False, np.arange(batch.num_rows), curve_keys(vectors, lift, longest, curve)),
                                          (True, asks, curve_keys(scaled, np.zeros(len(asks)), longest, curve))):
-                    part = batch.take(pa.array(some))
+                    at = pa.array(some)
+                    part = batch.take(at)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(some), curve), pa.int32()), pa.array(key, pa.int64()),
-                         pa.array(np.full(len(some), asked)), part.column(0), part.column(1), part.column(3)],
-                        names=["curve", "key", "asked", "row", "id", "vec"])
+                         pa.array(np.full(len(some), asked)), part.column(0), part.column(2), part.column(3), body.take(at)],
+                        names=["curve", "key", "asked", "mark", "rows", "ids", "vec"])
 
-    return flagged.mapInArrow(keys, "curve int, key long, asked boolean, row long, id long, vec array<double>")
+    return entries.mapInArrow(keys, "curve int, key long, asked boolean, mark binary, rows array<long>, ids array<long>, vec binary")
 
 
-_PACKED = "curve int, part int, idx int, asked boolean, n int, n_rows binary, ids binary, vecs binary"
+_PACKED = "curve int, part int, idx int, asked boolean, n int, marks array<binary>, sizes binary, n_rows binary, ids binary, vecs binary"
 
 
 def _blocks(most: int):
-    """Worker function: rows sorted by (curve, key) to blocks and the queries that fall into them."""
+    """Worker function: vectors sorted by (curve, key) to blocks and the queries that fall into them.
+
+    Only candidates fill a block; queries beyond ``most`` make a further pack of the same block.
+    """
+    schema = pa.schema([("curve", pa.int32()), ("part", pa.int32()), ("idx", pa.int32()), ("asked", pa.bool_()), ("n", pa.int32()),
+                        ("marks", pa.list_(pa.binary())), ("sizes", pa.binary()), ("n_rows", pa.binary()), ("ids", pa.binary()), ("vecs", pa.binary())])
 
     def pack(batches):
         from pyspark import TaskContext
@@ -116,30 +147,31 @@ def _blocks(most: int):
         part, curve, idx = TaskContext.get().partitionId(), None, 0
         held: dict[bool, list] = {False: [], True: []}
 
-        def flush():
-            for asked, rows in held.items():
-                if rows or not asked:
-                    number, ids, vecs = zip(*rows, strict=True) if rows else ((), (), ())
-                    ids = [NO_ID if i is None else i for i in ids]
-                    yield pa.RecordBatch.from_pylist(
-                        [{"curve": curve, "part": part, "idx": idx, "asked": asked, "n": len(rows),
-                          "n_rows": np.array(number, "<i8").tobytes(), "ids": np.array(ids, "<i8").tobytes(),
-                          "vecs": np.array(vecs, "<f8").tobytes()}],
-                        schema=pa.schema([("curve", pa.int32()), ("part", pa.int32()), ("idx", pa.int32()), ("asked", pa.bool_()),
-                                          ("n", pa.int32()), ("n_rows", pa.binary()), ("ids", pa.binary()), ("vecs", pa.binary())]))
-            held[False], held[True] = [], []
+        def flush(asked):
+            marks, rows, ids, vecs = zip(*held[asked], strict=True) if held[asked] else ((), (), (), ())
+            held[asked] = []
+            members = ((), ()) if asked else (rows, ids)  # queries are told by their mark alone
+            sizes, n_rows, of_ids = [len(r) for r in members[0]], [x for r in members[0] for x in r], [x for r in members[1] for x in r]
+            yield pa.RecordBatch.from_pylist(
+                [{"curve": curve, "part": part, "idx": idx, "asked": asked, "n": len(marks), "marks": list(marks) if asked else [],
+                  "sizes": np.array(sizes, "<i8").tobytes(), "n_rows": np.array(n_rows, "<i8").tobytes(),
+                  "ids": np.array(of_ids, "<i8").tobytes(), "vecs": b"".join(vecs)}], schema=schema)
 
         for batch in batches:
-            vectors = batch.column(4).flatten().to_numpy().reshape(batch.num_rows, -1)
-            columns = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), vectors, strict=True)
-            for c, asked, row, i, vec in columns:
-                if curve is not None and (c != curve or max(len(held[False]), len(held[True])) >= most):
-                    yield from flush()
+            for c, asked, *entry in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+                if curve is not None and (c != curve or not asked and len(held[False]) >= most):
+                    if held[True]:
+                        yield from flush(True)
+                    yield from flush(False)
                     idx += 1
                 curve = c
-                held[asked].append((row, i, vec))
+                if asked and len(held[True]) >= most:
+                    yield from flush(True)
+                held[asked].append(entry)
         if curve is not None:
-            yield from flush()
+            if held[True]:
+                yield from flush(True)
+            yield from flush(False)
 
     return pack
 
@@ -151,53 +183,61 @@ def nearest(
     """The k nearest found of every row whose id ``every_nth`` divides."""
     spark = rows.sparkSession
     bounded_batches(spark)
-    usable = numbered(rows, key, vector).where(F.exists("vec", lambda x: x != 0))
-    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    sizes = usable.groupBy(F.size("vec").alias("width")).agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.max(square)).alias("longest"))
-    shape = sizes.orderBy(F.desc("n"), "width").first()
-    width, n, longest = shape if shape else (1, 0, 1.0)
+    marked = cut(_marked(numbered(rows, key, vector).where(F.exists("vec", lambda x: x != 0)), every_nth), "hilbert_rows")
+    entries = cut(_entries(marked, k), "hilbert_entries")
+    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
+    sizes = entries.groupBy(F.size("vec").alias("width")).agg(
+        F.sum(F.size("rows")).alias("of"), F.count(F.lit(1)).alias("n"), F.sqrt(F.max(square)).alias("longest"))
+    shape = sizes.orderBy(F.desc("of"), "width").first()
+    width, _, n, longest = shape if shape else (1, 0, 0, 1.0)
     most = min(MOST_IN_BLOCK, max(1, -(-n // LEAST_BLOCKS)))
-    keyed = _keyed(usable.where(F.size("vec") == width), longest, every_nth, width)
-    sorted_rows = keyed.repartitionByRange(shuffle_partitions(spark), "curve", "key", "row").sortWithinPartitions("curve", "key", "row")
-    packed = sorted_rows.select("curve", "asked", "row", "id", "vec").mapInArrow(_blocks(most), _PACKED)
+    keyed = _keyed(entries.where(F.size("vec") == width), longest, width)
+    sorted_rows = keyed.repartitionByRange(shuffle_partitions(spark), "curve", "key", "mark").sortWithinPartitions("curve", "key", "mark")
+    packed = sorted_rows.select("curve", "asked", "mark", "rows", "ids", "vec").mapInArrow(_blocks(most), _PACKED)
     blocks = cut(packed, "hilbert_blocks")
 
     on_curve = Window.partitionBy("curve")
+    filled = (F.col("n") > 0).cast("int")  # a stretch of queries alone lies at the filled block before it
+    upto = on_curve.orderBy("part", "idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     places = blocks.where(~F.col("asked")).select(
         "curve", "part", "idx",
-        (F.row_number().over(on_curve.orderBy("part", "idx")) - 1).alias("place"), F.count(F.lit(1)).over(on_curve).alias("of"))
+        F.greatest(F.lit(0), F.sum(filled).over(upto) - 1).alias("place"), F.sum(filled).over(on_curve).alias("of"))
     placed = blocks.join(places, ["curve", "part", "idx"])
     reach = F.ceil(F.col("of") * (window_share / 2)).cast("int")
     first = F.greatest(F.lit(0), F.least(F.col("place") - reach, F.col("of") - 1 - 2 * reach)).cast("int")
     last = F.least(F.col("of") - 1, first + 2 * reach).cast("int")
-    body = ["n_rows", "ids", "vecs"]
-    asked = placed.where("asked").select("curve", F.explode(F.sequence(first, last)).alias("place"), *body)
+    asked = placed.where("asked").select("curve", F.explode(F.sequence(first, last)).alias("place"), "marks", "vecs")
     offered = placed.where("not asked and n > 0").select(
-        F.col("curve").alias("curve"), F.col("place").cast("int").alias("place"), *[F.col(c).alias(c) for c in body])
+        F.col("curve").alias("curve"), F.col("place").cast("int").alias("place"),
+        *[F.col(c).alias(c) for c in ("sizes", "n_rows", "ids", "vecs")])
 
     def score(block: pa.Table, packs: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"q_row": [], "query_id": [], "row": [], "vec_id": [], "score": []}
+        out: dict[str, list] = {"mark": [], "row": [], "vec_id": [], "score": []}
         for b in block.to_pylist():
             own, ids = np.frombuffer(b["n_rows"], "<i8"), np.frombuffer(b["ids"], "<i8")
-            vectors = np.frombuffer(b["vecs"], "<f8").reshape(len(own), width)
+            sizes = np.frombuffer(b["sizes"], "<i8")
+            entry = np.repeat(np.arange(len(sizes)), sizes)
+            vectors = np.frombuffer(b["vecs"], "<f8").reshape(len(sizes), -1)
             for p in packs.to_pylist():
-                q_rows, q_ids = np.frombuffer(p["n_rows"], "<i8"), np.frombuffer(p["ids"], "<i8")
-                scores = np.frombuffer(p["vecs"], "<f8").reshape(len(q_rows), width) @ vectors.T
-                for i, q in enumerate(q_rows):
-                    line = np.where(own == q, -np.inf, scores[i])
-                    at = best(line, ids, k)
-                    at = at[line[at] > -np.inf]
-                    out["q_row"] += [int(q)] * len(at)
-                    out["query_id"] += [int(q_ids[i])] * len(at)
+                scores = np.frombuffer(p["vecs"], "<f8").reshape(len(p["marks"]), -1) @ vectors.T
+                for i, mark in enumerate(p["marks"]):
+                    line = scores[i][entry]
+                    at = best(line, ids, k + 1)
+                    out["mark"] += [mark] * len(at)
                     out["row"] += own[at].tolist()
                     out["vec_id"] += ids[at].tolist()
                     out["score"] += line[at].tolist()
-        vec = pa.array([None if i == NO_ID else i for i in out["vec_id"]], pa.int64())
-        whole = {c: pa.array(out[c], pa.int64()) for c in ("q_row", "query_id", "row")}
-        return pa.table({**whole, "vec_id": vec, "score": pa.array(out["score"], pa.float64())})
+        return pa.table({"mark": pa.array(out["mark"], pa.binary()), "row": pa.array(out["row"], pa.int64()),
+                         "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
 
     found = offered.groupBy("curve", "place").cogroup(asked.groupBy("curve", "place")).applyInArrow(
-        score, "q_row long, query_id long, row long, vec_id long, score double")
-    merged = found.groupBy("q_row", "query_id", "row", "vec_id").agg(F.max("score").alias("score"))
-    return first_k(merged, k, "score")
-
+        score, "mark binary, row long, vec_id long, score double")
+    merged = found.groupBy("mark", "row", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("mark").orderBy(F.col("score").desc(), "vec_id", "row")
+    ranked = merged.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= k + 1)
+    answers = ranked.groupBy(F.col("mark").alias("of")).agg(F.sort_array(F.collect_list(F.struct("turn", "row", "vec_id", "score"))).alias("near"))
+    asking = marked.where("asks").select("row", F.col("id").alias("query_id"), "mark")
+    others = F.slice(F.filter("near", lambda x: x["row"] != F.col("row")), 1, k)
+    each = asking.join(answers, F.col("mark") == F.col("of")).select("query_id", F.posexplode(others).alias("place", "one"))
+    vec_id = F.when(F.col("one.vec_id") != int(NO_ID), F.col("one.vec_id"))
+    return each.select("query_id", (F.col("place") + 1).alias("rank"), vec_id.alias("vec_id"), F.col("one.score").alias("score"))

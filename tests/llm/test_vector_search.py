@@ -103,6 +103,19 @@ def test_curve_recall_with_clusters_of_any_length(spark):
     assert recall(spark, rows, window_share=0.1) >= 0.95
 
 
+def test_curve_recall_with_many_copies_of_one_vector(spark):
+    rng = np.random.default_rng(6)
+    hot, *others = (v / np.linalg.norm(v) for v in rng.standard_normal((2001, 24)))
+    hot, others = hot.tolist(), iter(others)
+    rows = [(i, hot if i % 3 == 0 else next(others).tolist(), "", "", "") for i in range(3000)]
+    got = hilbert_ann.nearest(spark.createDataFrame(rows, SCHEMA)).collect()
+    copies = sorted(i for i, v, *_ in rows if v is hot)
+    for q in (i for i in copies if i % 20 == 0):
+        mine = [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])]
+        assert mine == [i for i in copies[:21] if i != q][:20]
+    assert recall(spark, rows) >= 0.9
+
+
 def test_curve_edges(spark):
     rows = [r for r in edge_rows() if not r[1] or len(r[1]) != 2]
     usable = [r for r in rows if r[1] and any(r[1])]
