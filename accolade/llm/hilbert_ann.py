@@ -13,6 +13,9 @@ leaves out its own.
 
 For the largest inner product, candidates carry one more component that brings all of them to
 one length, and queries a zero; then the nearest vector is the one with the largest product.
+Candidates are parted into ranges of length, within which lengths differ by a factor of two at
+most, and each range has curves and a grid of its own: a few very long vectors leave the grid of
+the others as fine as it was.  A query, brought to the length of the range, asks in every range.
 
 The window is a share of the curve's blocks.  The share decides recall: vectors in clusters need
 little, directionless ones much (README gives measured figures).
@@ -30,10 +33,11 @@ gives an empty result; further columns are not read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -106,26 +110,37 @@ def _entries(marked: DataFrame, k: int) -> DataFrame:
         "mark", "vec", F.col("members.row").alias("rows"), F.col("members.id").alias("ids"), F.col("asking").isNotNull().alias("asks"))
 
 
-def _keyed(entries: DataFrame, longest: float, width: int) -> DataFrame:
-    """Each vector once a curve as candidate and, if rows with it are queries, once as query."""
+def _norm() -> Column:
+    return F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+
+
+def _keyed(entries: DataFrame, spaces: list[tuple[int, float]], width: int) -> DataFrame:
+    """Each vector on the curves of its range as candidate and, if rows with it are queries, on those of all ranges as query.
+
+    ``spaces`` has (range, longest); space number i has the curves from ``i * CURVES`` on.
+    """
+    index = {of: i for i, (of, _) in enumerate(spaces)}
 
     def keys(batches):
         for batch in batches:
             vectors = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, width)
-            norms = np.minimum(np.linalg.norm(vectors, axis=1), longest)
+            norms = np.linalg.norm(vectors, axis=1)
             asks = np.flatnonzero(batch.column(4).to_numpy(zero_copy_only=False))
-            lift = np.sqrt(np.maximum(longest**2 - norms**2, 0))
-            scaled = vectors[asks] * (longest / norms[asks])[:, None]
+            own = np.array([index[of] for of in batch.column(5).to_pylist()], int)
             body = pa.array([v.astype("<f8").tobytes() for v in vectors], pa.binary())
-            for curve in range(CURVES):
-                for asked, some, key in ((False, np.arange(batch.num_rows), curve_keys(vectors, lift, longest, curve)),
-                                         (True, asks, curve_keys(scaled, np.zeros(len(asks)), longest, curve))):
-                    at = pa.array(some)
-                    part = batch.take(at)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(some), curve), pa.int32()), pa.array(key, pa.int64()),
-                         pa.array(np.full(len(some), asked)), part.column(0), part.column(2), part.column(3), body.take(at)],
-                        names=["curve", "key", "asked", "mark", "rows", "ids", "vec"])
+            for space, (_, longest) in enumerate(spaces):
+                offers = np.flatnonzero(own == space)
+                lift = np.sqrt(np.maximum(longest**2 - norms[offers]**2, 0))
+                scaled = vectors[asks] * (longest / norms[asks])[:, None]
+                for turn in range(CURVES):
+                    for asked, some, key in ((False, offers, curve_keys(vectors[offers], lift, longest, turn)),
+                                             (True, asks, curve_keys(scaled, np.zeros(len(asks)), longest, turn))):
+                        at = pa.array(some)
+                        part = batch.take(at)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(some), space * CURVES + turn), pa.int32()), pa.array(key, pa.int64()),
+                             pa.array(np.full(len(some), asked)), part.column(0), part.column(2), part.column(3), body.take(at)],
+                            names=["curve", "key", "asked", "mark", "rows", "ids", "vec"])
 
     return entries.mapInArrow(keys, "curve int, key long, asked boolean, mark binary, rows array<long>, ids array<long>, vec binary")
 
@@ -133,10 +148,11 @@ def _keyed(entries: DataFrame, longest: float, width: int) -> DataFrame:
 _PACKED = "curve int, part int, idx int, asked boolean, n int, marks array<binary>, sizes binary, n_rows binary, ids binary, vecs binary"
 
 
-def _blocks(most: int):
+def _blocks(most: list[int]):
     """Worker function: vectors sorted by (curve, key) to blocks and the queries that fall into them.
 
-    Only candidates fill a block; queries beyond ``most`` make a further pack of the same block.
+    ``most`` is the size of a block for each space.  Only candidates fill a block; queries beyond
+    ``MOST_IN_BLOCK`` make a further pack of the same block.
     """
     schema = pa.schema([("curve", pa.int32()), ("part", pa.int32()), ("idx", pa.int32()), ("asked", pa.bool_()), ("n", pa.int32()),
                         ("marks", pa.list_(pa.binary())), ("sizes", pa.binary()), ("n_rows", pa.binary()), ("ids", pa.binary()), ("vecs", pa.binary())])
@@ -159,13 +175,13 @@ def _blocks(most: int):
 
         for batch in batches:
             for c, asked, *entry in zip(*[column.to_pylist() for column in batch.columns], strict=True):
-                if curve is not None and (c != curve or not asked and len(held[False]) >= most):
+                if curve is not None and (c != curve or not asked and len(held[False]) >= most[c // CURVES]):
                     if held[True]:
                         yield from flush(True)
                     yield from flush(False)
                     idx += 1
                 curve = c
-                if asked and len(held[True]) >= most:
+                if asked and len(held[True]) >= MOST_IN_BLOCK:
                     yield from flush(True)
                 held[asked].append(entry)
         if curve is not None:
@@ -185,13 +201,17 @@ def nearest(
     bounded_batches(spark)
     marked = cut(_marked(numbered(rows, key, vector).where(F.exists("vec", lambda x: x != 0)), every_nth), "hilbert_rows")
     entries = cut(_entries(marked, k), "hilbert_entries")
-    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
-    sizes = entries.groupBy(F.size("vec").alias("width")).agg(
-        F.sum(F.size("rows")).alias("of"), F.count(F.lit(1)).alias("n"), F.sqrt(F.max(square)).alias("longest"))
-    shape = sizes.orderBy(F.desc("of"), "width").first()
-    width, _, n, longest = shape if shape else (1, 0, 0, 1.0)
-    most = min(MOST_IN_BLOCK, max(1, -(-n // LEAST_BLOCKS)))
-    keyed = _keyed(entries.where(F.size("vec") == width), longest, width)
+    of_length = F.round(F.log2("norm")).cast("int")  # round: vectors of length 1 are in one range
+    ranged = entries.withColumn("norm", _norm()).withColumn("range", of_length)
+    sizes = ranged.groupBy(F.size("vec").alias("width"), "range").agg(
+        F.sum(F.size("rows")).alias("of"), F.count(F.lit(1)).alias("n"), F.max("norm").alias("longest")).collect()
+    widths = Counter()
+    for r in sizes:
+        widths[r["width"]] += r["of"]
+    width = min(widths, key=lambda w: (-widths[w], w), default=1)
+    here = sorted((r["range"], r["longest"], r["n"]) for r in sizes if r["width"] == width)
+    most = [min(MOST_IN_BLOCK, max(1, -(-n // LEAST_BLOCKS))) for *_, n in here]
+    keyed = _keyed(ranged.drop("norm").where(F.size("vec") == width), [(of, longest) for of, longest, _ in here], width)
     sorted_rows = keyed.repartitionByRange(shuffle_partitions(spark), "curve", "key", "mark").sortWithinPartitions("curve", "key", "mark")
     packed = sorted_rows.select("curve", "asked", "mark", "rows", "ids", "vec").mapInArrow(_blocks(most), _PACKED)
     blocks = cut(packed, "hilbert_blocks")

@@ -116,6 +116,13 @@ def test_curve_recall_with_many_copies_of_one_vector(spark):
     assert recall(spark, rows) >= 0.9
 
 
+def test_curve_recall_with_one_very_long_vector(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((60, 24)) * 3
+    rows = [(i, ((centres[i % 60] + rng.standard_normal(24) * 0.4) * (1 if i == 1 else 0.001)).tolist(), "", "", "") for i in range(3000)]
+    assert recall(spark, rows) >= 0.9
+
+
 def test_curve_edges(spark):
     rows = [r for r in edge_rows() if not r[1] or len(r[1]) != 2]
     usable = [r for r in rows if r[1] and any(r[1])]
