@@ -245,6 +245,14 @@ def _residual_pairs(left: DataFrame, labels: DataFrame, share: int, allowed: int
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
-    """The documents without those that another one of their component stands for."""
-    gone = near_duplicates(docs, key, text, share).where(~F.col("kept")).select(F.col(key).alias("gone_")).distinct()
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("gone_")), "left_anti")
+    """The documents without those that another one of their component stands for.
+
+    Rows are told apart by id and digest of the text, so a row falls only for its own component,
+    whatever other rows share its id, and null ids are no group.  The smallest id stays, of equal
+    ids the smallest digest; rows equal in both stand together.
+    """
+    mark = F.unhex(F.md5(F.col(text).cast("binary")))
+    own = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), mark.alias("mark"))
+    found = near_duplicates(docs.select(own.alias("own"), F.col(text).alias("text")), "own", "text", share).where(~F.col("kept"))
+    gone = found.select(F.col("own.id").alias("gone_"), F.col("own.mark").alias("gone_mark_")).distinct()
+    return docs.join(gone, F.col(key).eqNullSafe(F.col("gone_")) & (mark == F.col("gone_mark_")), "left_anti")

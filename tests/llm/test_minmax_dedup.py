@@ -106,6 +106,16 @@ def test_edges(spark):
     assert sorted((x["doc_id"] for x in kept.collect()), key=str) == sorted([1, 1, 1, 3, 4, 5, 7, 8, None, None], key=str)
 
 
+def test_every_group_keeps_a_row_where_ids_repeat_or_are_null(spark):
+    third, group, clean = ("text of number three a b c d", "text of the seventh group a b c", "a clean text without an id")
+    rows = [(3, third), (7, third), (7, group), (8, group), (9, group), (None, third), (None, clean), (None, "null ids " + group),
+            (None, "NULL ids " + group)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in minmax_dedup.keep_one(df).collect()]
+    assert {(3, third), (7, group), (None, clean)} <= set(kept) and len(kept) == 4
+    assert sum(t.lower().startswith("null ids") for _, t in kept) == 1
+
+
 @settings(max_examples=12, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=40))
 def test_components(spark, links):
