@@ -39,7 +39,7 @@ def canonical(names: list[str], rows) -> list[tuple]:
     return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
-SPARK_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+SPARK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
                "timestamp_ntz": "TIMESTAMP"}
 
 
