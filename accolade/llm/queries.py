@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from accolade.llm import hilbert_ann, interleave_shards, minmax_dedup, packing, piece_transducer, site_lines, suffix_dedup, threshold_topk, token_files, toxicity
+from accolade.llm import conversation_trie, filter_audit, hilbert_ann, interleave_shards, minmax_dedup, packing, piece_transducer, site_lines, source_mix, suffix_dedup, threshold_topk, token_files, toxicity
 from accolade.llm.common import read
 from accolade.llm.statements import SQL
 
@@ -68,10 +68,23 @@ def op10_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_rollup_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(*conversation_trie.rebuilt(read(spark, sf_dir, "conversations")))
+
+
+def op12_budget_fitting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(read(spark, sf_dir, "documents"))
+
+
+def op13_tensor_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_factorization_machine, op2_suffix_array_spans, op3_perfect_hash_index, op4_minmax_components,
         op5_threshold_topk, op6_site_line_frequency, op7_shortest_pack_first, op8_weighted_transducer, op9_hilbert_windows, op10_stratified_interleaving,
+        op11_rollup_trie, op12_budget_fitting, op13_tensor_audit,
     )
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
