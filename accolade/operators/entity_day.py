@@ -67,16 +67,31 @@ def running_totals(
     key: str = "player_id",
     day: str = "activity_date",
     prior: str = "prior_activity_date",
+    opening: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``cum_<metric>`` per registered metric, and the previous active day.
 
     One window specification serves all of them: one exchange on the key, one sort.  The
     rows of a key are its active days, so the calendar bounds each window group.
+
+    With ``opening`` (a balance, see ``balances``), ``daily`` holds the days after it only; totals
+    and previous days go on from there, and the balance's other columns stay for ``with_streaks``.
     """
     by_day = Window.partitionBy(key).orderBy(day)
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = {f"cum_{metric}": F.sum(measure).over(so_far) for metric, measure in metric_map.items()}
-    return daily.withColumns({**totals, prior: F.lag(day).over(by_day)})
+    last = F.lag(day).over(by_day)
+    if opening is None:
+        return daily.withColumns({**totals, prior: last})
+    carried = daily.join(opening.select(key, *[F.col(f"cum_{m}").alias(f"open_{m}") for m in metric_map], *CARRIED), key, "left")
+    grown = {c: F.coalesce(F.col(c.replace("cum_", "open_", 1)), F.lit(0)) + total for c, total in totals.items()}
+    return carried.withColumns({**grown, prior: F.coalesce(last, "open_last_day")}).drop(
+        *[f"open_{m}" for m in metric_map], "open_last_day")
+
+
+#: What a balance carries over besides the totals: the last active day, the last day with a visit, and
+#: the month in which the run of months of that visit began.
+CARRIED = ("open_last_day", "open_seen_day", "open_run_start")
 
 
 def with_streaks(
@@ -85,22 +100,24 @@ def with_streaks(
     """Add the length of the run of active months, on the first active day of each month.
 
     Other rows get NULL.  Only running windows over (key, day) are used, so next to
-    ``running_totals`` this costs neither an exchange nor a sort.
+    ``running_totals`` this costs neither an exchange nor a sort.  Where ``daily`` has a balance's
+    columns, the run that was open then goes on.
     """
     by_day = Window.partitionBy(key).orderBy(day)
     month = month_index(F.col(day))
     seen = F.last(F.when(active, F.col(day)), ignorenulls=True).over(
         by_day.rowsBetween(Window.unboundedPreceding, -1)
     )
+    carried = "open_seen_day" in daily.columns
     months_since = month - month_index(F.col("_seen"))  # NULL before the first active day
     first_in_month = active & (F.col("_seen").isNull() | (months_since > 0))
     run_starts = active & (F.col("_seen").isNull() | (months_since > 1))
     run_start = F.max(F.when(run_starts, month)).over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        daily.withColumn("_seen", seen)
-        .withColumn("_run_start", run_start)
+        daily.withColumn("_seen", F.coalesce(seen, "open_seen_day") if carried else seen)
+        .withColumn("_run_start", F.coalesce(run_start, "open_run_start") if carried else run_start)
         .withColumn(into, F.when(first_in_month, month - F.col("_run_start") + 1))
-        .drop("_seen", "_run_start")
+        .drop("_seen", "_run_start", "open_seen_day", "open_run_start")
     )
 
 

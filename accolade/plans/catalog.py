@@ -18,18 +18,23 @@ from pyspark.sql import types as T
 from accolade import policy as P
 from accolade.functions import dates as D
 from accolade.functions import recognition as R
+from accolade.operators import entity_day as ED
 from accolade.operators import joins as J
 from accolade.operators import quality as Q
 from accolade.operators import rules as RU
 from accolade.operators import windows as W
+from accolade.operators.balances import days_after
 from accolade.operators.entity_day import zero_filled
 from accolade.operators.events import unpivot_cumulative
+from accolade.plans import balance_book as BB
 from accolade.plans import guest360 as G
 from accolade.plans import recommend as RE
 from accolade.plans.pipeline import Keep, Recognition, cutting, lazily, publish_staging
+from accolade.plans.rolling import RollingMilestones
 from accolade.policy import Policy
 from accolade.sources import readers, sample, sinks
 from accolade.sources.staging import SOURCE_COLUMNS
+from accolade.streaming.refresh import touched_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -381,6 +386,57 @@ def worklist_for_property(run: Recognition) -> DataFrame:
     return RE.worklist_for(run.worklist, LISTED_PROPERTY)
 
 
+# --- balances ---------------------------------------------------------------------------
+
+#: Ends of months before the as-of day: inside the rules' reach, and older than the 360's look-back.
+BALANCE_DAY, OLD_BALANCE_DAY = BB.month_end(AS_OF, 2), BB.month_end(AS_OF, 14)
+
+
+def _with_book(spark: SparkSession, sf_dir: str) -> Recognition:
+    """A run with balances of its stored entity-days."""
+    run = recognition_run(spark, sf_dir, cutting(*CUT_LABELS))
+    run.balances = BB.BalanceBook(spark, sinks.fresh_path(spark, "balances"))
+    run.balances.close(run.activity, [OLD_BALANCE_DAY, BALANCE_DAY], run.policy)
+    return run
+
+
+def opening_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each guest's balance at the end of a month, carried on from the one a year before."""
+    return published(_with_book(spark, sf_dir).balances.before(AS_OF)[1])
+
+
+def continued_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals and streaks of the days after a balance, from that balance."""
+    run = _with_book(spark, sf_dir)
+    opened, opening = run.balances.before(AS_OF)
+    totals = ED.running_totals(days_after(run.activity, opened), run.policy.cumulative_metrics, opening=opening)
+    kept = [f"cum_{m}" for m in run.policy.cumulative_metrics]
+    return published(
+        ED.with_streaks(totals, F.col("visit_flag") == 1).select("player_id", "activity_date", *kept, "prior_activity_date", "streak_months"))
+
+
+def recommendations_from_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return published(_with_book(spark, sf_dir).recommendations)
+
+
+LATE_DAYS = 20
+
+
+def refreshed_milestones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The milestone history built without some sessions of the last days, refreshed when they land."""
+    late = (F.col("SessionID") % 5 == 0) & (F.col("GamingDate") >= F.lit(AS_OF - dt.timedelta(days=LATE_DAYS)))
+    whole = recognition_run(spark, sf_dir, cutting(*CUT_LABELS))
+    landed = sample.landed_tables(spark, sf_dir)
+    sessions = landed["player_session"]
+    before = Recognition(
+        {**landed, "player_session": sessions.where(~late)}, whole.rules, whole.guardrails, whole.policy, cutting(*CUT_LABELS))
+    history = RollingMilestones(sinks.fresh_path(spark, "milestones"), BB.BalanceBook(spark, sinks.fresh_path(spark, "balances")))
+    history.build(before)
+    whole.balances = history.book
+    history.refresh(whole, touched_days(sessions.where(late), "player_session", whole.policy), before.as_of)
+    return published(history.milestones())
+
+
 # --- data quality -------------------------------------------------------------------------------
 
 
@@ -460,7 +516,8 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         f.__name__: f
         for f in (scan_sources, select_normalized, live_rows, minimize_columns, rules_catalog, budget_catalog,
-                  table_sink_roundtrip, source_freshness, staging_views, clock_day, dq_unique_combination)
+                  table_sink_roundtrip, source_freshness, staging_views, clock_day, dq_unique_combination,
+                  opening_balances, continued_totals, recommendations_from_balances, refreshed_milestones)
     }
     out.update({f"stg_{name}": _staged(name) for name in SOURCE_COLUMNS})
     on_staging = (

@@ -17,11 +17,17 @@ from accolade.operators.windows import favorite, latest_in_interval, within_trai
 from accolade.policy import Policy
 
 
-def guest_snapshot(activity: DataFrame, as_of: dt.date, policy: Policy) -> DataFrame:
+def snapshot_reach(policy: Policy) -> int:
+    """Days before the as-of day that the snapshot looks at one by one."""
+    return max(policy.trailing_days, policy.rg_baseline_days, policy.rg_recent_days)
+
+
+def guest_snapshot(activity: DataFrame, as_of: dt.date, policy: Policy, opening: DataFrame | None = None) -> DataFrame:
     """Everything the 360 and the gaming signals need from the entity-days, in one grouping.
 
     The running total at the latest day up to ``as_of`` is the sum of the days up to it, so
-    no window and no second pass over the entity-days is needed.
+    no window and no second pass over the entity-days is needed.  With ``opening``, a balance
+    older than every window, ``activity`` holds the days after it only.
     """
     day, visited = F.col("activity_date"), F.col("visit_flag") == 1
     so_far = day <= F.lit(as_of)
@@ -37,9 +43,23 @@ def guest_snapshot(activity: DataFrame, as_of: dt.date, policy: Policy) -> DataF
         **anomaly_aggregates("activity_date", as_of, policy),
     }
     grouped = activity.groupBy("player_id").agg(*[c.alias(n) for n, c in aggregates.items()])
+    if opening is not None:
+        grouped = _continued(opening, grouped, policy)
     return with_anomaly(grouped, policy)
 
 
+def _continued(opening: DataFrame, grouped: DataFrame, policy: Policy) -> DataFrame:
+    """A balance and the aggregates of the days after it, as if of all days."""
+    zero, none = F.lit(0), F.lit(0).cast("bigint")
+    merged = opening.join(grouped, "player_id", "full")
+    return merged.withColumns({
+        **{m: F.coalesce(F.col(f"cum_{m}"), zero) + F.coalesce(F.col(m), zero) for m in policy.cumulative_metrics},
+        "last_visit_date": F.coalesce("last_visit_date", "open_last_day"),
+        "first_visit_date": F.coalesce("open_first_visit", "first_visit_date"),
+        "recent_days": F.coalesce("recent_days", none), "normal_days": F.coalesce("normal_days", none),
+    }).select(*grouped.columns)
+
+
 def favorite_game(sessions: DataFrame, as_of: dt.date, policy: Policy) -> DataFrame:
     """Game category with the most minutes over the trailing year."""
     recent = sessions.where(within_trailing(F.col("gaming_date"), as_of, policy.trailing_days))
@@ -91,7 +111,7 @@ def in_house(reservations: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def guest_profile(
-    staged: Mapping[str, DataFrame], activity: DataFrame, as_of: dt.date, policy: Policy
+    staged: Mapping[str, DataFrame], activity: DataFrame, as_of: dt.date, policy: Policy, opening: DataFrame | None = None,
 ) -> DataFrame:
     """The 360 together with the gaming signals, one row per guest.
 
@@ -116,7 +136,7 @@ def guest_profile(
     joined = (
         staged["player"].drop("created_at")
         .join(members, "player_id", "left")
-        .join(guest_snapshot(activity, as_of, policy), "player_id", "left")
+        .join(guest_snapshot(activity, as_of, policy, opening), "player_id", "left")
         .join(favorite_game(sessions, as_of, policy), "player_id", "left")
         .join(playing, "player_id", "left")
         .join(favorite_outlet(staged["check"], staged["member"], staged["outlet"]), "player_id", "left")

@@ -16,9 +16,11 @@ from accolade.operators import events as EV
 from accolade.operators import quality as Q
 from accolade.operators import rules as RU
 from accolade.operators import signals as SG
+from accolade.operators.balances import days_after, days_between
 from accolade.plans import guest360 as G
 from accolade.plans import recommend as RE
 from accolade.plans.activity import guest_activity
+from accolade.plans.balance_book import BalanceBook
 from accolade.policy import Policy
 from accolade.sources.sinks import cut, save_table
 from accolade.sources.staging import stage_all
@@ -60,7 +62,8 @@ class Recognition:
     """The tables of one run as attributes, each built on first use.
 
     ``keep`` sees every table with its label and may store it; by default all stay lazy.
-    ``activity`` stands in for the entity-days where they are already stored.
+    ``activity`` stands in for the entity-days where they are already stored.  With ``balances`` of
+    them, the day's recommendations read the days since a balance and not the history before.
     """
 
     def __init__(
@@ -71,6 +74,7 @@ class Recognition:
         policy: Policy = Policy(),
         keep: Keep = lazily,
         activity: DataFrame | None = None,
+        balances: BalanceBook | None = None,
     ):
         self.policy = policy
         self.as_of: dt.date = resolve_as_of(policy)
@@ -79,6 +83,7 @@ class Recognition:
         self.staged = stage_all(landed, policy)
         self._keep = keep
         self._activity = activity
+        self.balances = balances
 
     # --- intermediate ------------------------------------------------------------
 
@@ -163,12 +168,20 @@ class Recognition:
         cut to them before any window runs; both sides share the buckets of the entity-days.
         """
         first, last = self._widest_window
-        near = lambda day: F.col(day).between(F.lit(first), F.lit(last))
-        active = self.activity.where(near("activity_date")).select("player_id")
-        history = self.activity.where(F.col("activity_date") <= F.lit(last)).join(active, "player_id", "left_semi")
-        totals = ED.running_totals(history, self.policy.cumulative_metrics)
-        events = EV.metric_events(self._day_events(totals), self._tier_events(), self.calendar)
-        return events.where(near("event_date"))
+        return self.events_between(first, last).where(F.col("event_date").between(F.lit(first), F.lit(last)))
+
+    def _opened(self, first: dt.date) -> tuple[dt.date | None, DataFrame | None]:
+        """The newest balance closed before a day, if there is one."""
+        return (self.balances and self.balances.before(first)) or (None, None)
+
+    def events_between(self, first: dt.date, last: dt.date | None = None) -> DataFrame:
+        """All metric events of the days from ``first`` to ``last`` (others may come with them), from
+        the days since the balance before ``first``."""
+        opened, opening = self._opened(first)
+        active = days_between(self.activity, first, last).select("player_id")
+        history = days_after(self.activity, opened, last).join(active, "player_id", "left_semi")
+        totals = ED.running_totals(history, self.policy.cumulative_metrics, opening=opening)
+        return EV.metric_events(self._day_events(totals), self._tier_events(), self.calendar)
 
     @cached_property
     def rg_signals(self) -> DataFrame:
@@ -191,7 +204,9 @@ class Recognition:
     @cached_property
     def profile(self) -> DataFrame:
         """Guest 360 and gaming signals side by side, as the recommendations need them."""
-        profile = G.guest_profile(self.staged, self.activity, self.as_of, self.policy)
+        opened, opening = self._opened(self.as_of - dt.timedelta(days=G.snapshot_reach(self.policy) - 1))
+        days = days_after(self.activity, opened)
+        profile = G.guest_profile(self.staged, days, self.as_of, self.policy, opening)
         return self._keep(profile, "guest_profile")
 
     @cached_property

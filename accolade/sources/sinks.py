@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,6 +20,43 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
     writer.save(path)
 
 
+#: Marks the row that stands for a partition whose rows have all gone.
+GONE = "is_gone_marker"
+
+
+def partition_days(spark: SparkSession, path: str, column: str) -> list[dt.date]:
+    """Days that name the partition folders of a table, from the folder names alone."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(root)]
+    return sorted(dt.date.fromisoformat(n.removeprefix(f"{column}=")) for n in names if n.startswith(f"{column}="))
+
+
+def replace_partitions(
+    df: DataFrame, path: str, partition: Mapping[str, Column], since: dt.date | None = None, fresh: bool = False,
+) -> None:
+    """Write rows into folders of one day-valued expression, replacing the folders they fall in.
+
+    Folders from ``since`` on that get no row are replaced too, by a marker that ``read_partitions``
+    skips.  ``fresh`` replaces the whole table.  Spark sorts what a task holds by folder, and small
+    partitions are joined before, so a folder gets few files.
+    """
+    ((column, value),) = partition.items()
+    rows = df.withColumns({column: value, GONE: F.lit(False)})
+    stored = [] if fresh else [d for d in partition_days(df.sparkSession, path, column) if since and d >= since]
+    if stored:
+        marks = df.sparkSession.createDataFrame([(d, True) for d in stored], f"{column} date, {GONE} boolean")
+        rows = rows.unionByName(marks, allowMissingColumns=True)
+    writer = rows.hint("rebalance", column).write.mode("overwrite").partitionBy(column)
+    writer.option("partitionOverwriteMode", "static" if fresh else "dynamic").parquet(path)
+
+
+def read_partitions(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).where(~F.col(GONE)).drop(GONE)
+
+
 def save_table(
     df: DataFrame,
     name: str,

@@ -258,6 +258,21 @@ CTES: dict[str, str] = {
                sum(CASE WHEN comp_date > {AS_OF} - 30 THEN comp_amount ELSE 0 END) AS comps_window_usd,
                max(comp_date) AS last_comp_date
         FROM q_comp_cards JOIN q_member_cards USING (member_id) WHERE comp_date <= {AS_OF} GROUP BY player_id""",
+    # --- balances -------------------------------------------------------------------------
+    "q_balance": (
+        "SELECT a.player_id, "
+        + ", ".join(f"sum({measure}) AS cum_{metric}" for metric, measure in CUMULATIVE.items())
+        + """, max(activity_date) AS open_last_day, min(activity_date) FILTER (visit_flag = 1) AS open_first_visit,
+               max(activity_date) FILTER (visit_flag = 1) AS open_seen_day, any_value(s.started) AS open_run_start
+        FROM q_activity a LEFT JOIN (
+            SELECT player_id, arg_max(year(visit_month) * 12 + month(visit_month) - streak_months + 1, visit_month) AS started
+            FROM q_streak WHERE visit_month <= DATE '2000-01-31' GROUP BY player_id) s ON s.player_id = a.player_id
+        WHERE activity_date <= DATE '2000-01-31' GROUP BY a.player_id"""
+    ),
+    "q_continued": """
+        SELECT t.*, s.streak_months FROM q_totals t
+        LEFT JOIN q_streak s ON s.player_id = t.player_id AND s.first_visit_in_month = t.activity_date
+        WHERE t.activity_date > DATE '2000-01-31'""",
     # --- guest 360 --------------------------------------------------------------------------
     "q_snapshot": f"""
         SELECT * FROM q_totals WHERE activity_date <= {AS_OF}
@@ -726,6 +741,14 @@ def oracle_sql() -> dict[str, str]:
         "milestones": _pick(MILESTONE, "q_milestone"),
         "entity_360": _pick(GUEST, "q_guest"),
         "recommendations": _pick(REC, "q_rec"),
+        "recommendations_from_balances": _pick(REC, "q_rec"),
+        "refreshed_milestones": _pick(MILESTONE, "q_milestone"),
+        "opening_balances": _pick(
+            "player_id:b cum_lifetime_theo_win:d cum_lifetime_visit_days:b cum_lifetime_hotel_nights:b cum_lifetime_dining_spend:d "
+            "open_last_day:t open_first_visit:t open_seen_day:t open_run_start:b", "q_balance"),
+        "continued_totals": _pick(
+            "player_id:b activity_date:t cum_lifetime_theo_win:d cum_lifetime_visit_days:b cum_lifetime_hotel_nights:b "
+            "cum_lifetime_dining_spend:d prior_activity_date:t streak_months:b", "q_continued"),
         "worklist": _pick(WORKLIST, "q_worklist"),
         "worklist_for_property": _pick(
             "worklist_rank:b guest_name:s tier_name:s presence:s headline_milestone:s recommended_action:s action_owner:s "
