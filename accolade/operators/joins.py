@@ -8,26 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hint_if_small(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else None.
-
-    The look past the bound stops at its first row, and needs no job for a local relation.
-    Meant for catalogs and dimensions; for guest- or member-sized sides Spark's own size
-    threshold decides.
-    """
-    return F.broadcast(df) if df.offset(max_rows).isEmpty() else None
-
-
-def dimension(df: DataFrame) -> DataFrame:
-    """A narrow dimension for joins on keys with few values (tiers, properties, outlets).
-
-    Such a side has a few rows, and Spark broadcasts it when its size is below the session's
-    threshold, known from the files or from the shuffle; beyond that the join is a plain one,
-    whose skewed partitions Spark splits at run time.  Nothing is counted while planning.
-    """
-    return df
-
-
 def hot_keys(facts: DataFrame, key: str, share: float) -> list:
     """Key values that hold more than ``share`` of the rows.
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from accolade import policy as P
 from accolade.functions.dates import age_on
 from accolade.functions.recognition import ineligible_reason, is_eligible
-from accolade.operators.joins import dimension
 from accolade.operators.signals import anomaly_aggregates, sum_when, with_anomaly
 from accolade.operators.windows import favorite, latest_in_interval, within_trailing
 from accolade.policy import Policy
@@ -77,11 +76,11 @@ def favorite_outlet(checks: DataFrame, members: DataFrame, outlets: DataFrame) -
     """
     paid = checks.where((F.col("check_status") == P.CLOSED_CHECK) & F.col("member_id").isNotNull())
     per_outlet = paid.groupBy("member_id", "outlet_id").agg(F.sum("subtotal").alias("spend"))
-    named = dimension(outlets.select(
+    named = outlets.select(
         "outlet_id",
         F.col("outlet_name").alias("favorite_outlet_name"),
         F.col("outlet_type").alias("favorite_outlet_type"),
-    ))
+    )
     values = ["favorite_outlet_name", "favorite_outlet_type"]
     spend = (
         per_outlet.join(named, "outlet_id")
@@ -123,8 +122,8 @@ def guest_profile(
         "player_id", "member_id", "member_number", "member_status", "enroll_date", "tier_id", "points_balance",
         "email_opt_in", "sms_opt_in",
     )
-    tiers = dimension(staged["tier"].select("tier_id", "tier_name"))
-    properties = dimension(staged["property"].select("property_id", "property_name"))
+    tiers = staged["tier"].select("tier_id", "tier_name")
+    properties = staged["property"].select("property_id", "property_name")
     homes, currents = (
         properties.withColumnsRenamed({c: f"{role}_{c}" for c in properties.columns}) for role in ("home", "current")
     )

@@ -213,21 +213,29 @@ class Recognition:
     def guest_360(self) -> DataFrame:
         return self._keep(G.entity_360(self.profile), "guest_360")
 
+    @cached_property
+    def catalog(self) -> RU.Catalog | None:
+        """The rules as an index, unless there are too many."""
+        return RU.Catalog.of(self.rules)
+
     @cached_property
     def milestones(self) -> DataFrame:
-        return self._keep(RU.milestones(self.metric_events, self.rules), "guest_milestones")
+        return self._keep(RU.milestones(self.metric_events, self.rules, catalog=self.catalog), "guest_milestones")
 
     @cached_property
     def _widest_window(self) -> tuple[dt.date, dt.date]:
         """Earliest and latest event date any rule can still act on."""
-        reach = self.rules.agg(F.max("recognition_window_days"), F.max("lead_days")).first()
-        return self.as_of - dt.timedelta(days=reach[0] or 0), self.as_of + dt.timedelta(days=reach[1] or 0)
+        if self.catalog:
+            back, ahead = self.catalog.widest
+        else:
+            back, ahead = (n or 0 for n in self.rules.agg(F.max("recognition_window_days"), F.max("lead_days")).first())
+        return self.as_of - dt.timedelta(days=back), self.as_of + dt.timedelta(days=ahead)
 
     @cached_property
     def recommendations(self) -> DataFrame:
         """From the events of the widest rule window alone: a day's list does not go through the
         history of guests who did nothing in it."""
-        near = RU.milestones(self._near_events(), self.rules)
+        near = RU.milestones(self._near_events(), self.rules, catalog=self.catalog)
         recs = RE.recommendations(near, self.profile, self.comp_budget, self.guardrails, self.as_of, self.policy)
         return self._keep(recs, "recommendations")
 

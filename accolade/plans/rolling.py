@@ -23,8 +23,8 @@ from accolade.sources.sinks import read_partitions, replace_partitions
 
 MONTH = "event_month"
 #: Month ends to hold balances of, counted back from the as-of day: one inside which the daily list
-#: falls, one before it, and one older than every look-back of the guest 360.
-MONTHS_BACK = (1, 2, 3, 14)
+#: falls, one before what the calendar window reaches, and one older than every look-back of the guest 360.
+MONTHS_BACK = (1, 3, 14)
 
 
 class RollingMilestones:
@@ -53,7 +53,7 @@ class RollingMilestones:
         reach = dt.timedelta(days=run.policy.calendar_window_days)
         first = min([*changed, as_of_before - reach, run.as_of - reach]).replace(day=1)
         events = run.events_between(first).where(F.col("event_date") >= F.lit(first))
-        rows = RU.milestones(events, run.rules)
+        rows = RU.milestones(events, run.rules, catalog=run.catalog)
         replace_partitions(rows, self.path, {MONTH: F.trunc("event_date", "MM")}, since=first)
         self._close(run)
         return first

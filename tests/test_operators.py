@@ -139,10 +139,10 @@ def test_large_catalogs_are_salted_not_broadcast(spark):
              float(rnd.randrange(0, 40))) for _ in range(300)]
     events, rules = event_frame(spark, data), rule_frame(spark)
     small = RU.cross_thresholds(events, rules)
-    salted = RU.cross_thresholds(events, rules, max_broadcast_rows=1, salts=4)
+    salted = RU.cross_thresholds(events, rules, max_rows=1, salts=4)
     assert rows(small) == rows(salted.select(*small.columns))
     whole = RU.milestones(events, rules)
-    assert rows(whole) == rows(RU.milestones(events, rules, max_broadcast_rows=1))
+    assert rows(whole) == rows(RU.milestones(events, rules, max_rows=1))
     assert "SortAggregate" not in whole._jdf.queryExecution().executedPlan().toString()
     best = {}
     for r in small.collect():
@@ -152,6 +152,43 @@ def test_large_catalogs_are_salted_not_broadcast(spark):
         ((*k, i, -v) for k, (_, i, v) in best.items()), key=lambda t: tuple((v is None, str(v)) for v in t))
 
 
+def join_rows(df):
+    """Rows that the joins of a plan put out, by its own counters."""
+    df.collect()
+    executed = df._jdf.queryExecution().executedPlan()
+    found, todo = [], [executed.executedPlan() if "Adaptive" in executed.getClass().getName() else executed]
+    while todo:
+        node = todo.pop()
+        if "QueryStage" in node.getClass().getName():
+            node = node.plan()
+        if "Join" in node.nodeName():
+            found.append(node.metrics().get("numOutputRows").get().value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_ten_thousand_rules_meet_only_what_is_crossed(spark):
+    rnd = random.Random(11)
+    rules = [(f"R{i:05}", f"F{i % 7}", f"m{i % 3}", float(rnd.randrange(1, 4000)) / 2, 1) for i in range(10_000)]
+    rules += [("none", "F0", "m0", None, 1), ("off", "F0", "m0", 5.0, 0)]
+    data = [(i, AS_OF, rnd.choice(["m0", "m1", "m2", "other"]), *sorted((rnd.randrange(0, 4400) / 2, rnd.randrange(0, 4400) / 2), reverse=True)[:2])
+            for i in range(400)]
+    data = [(k, d, m, v, v - rnd.choice([0.0, 0.5, 1.0, 20.0])) for k, d, m, v, _ in data]
+    data += [(900, AS_OF, "m0", 5000.0, -1.0), (901, AS_OF, "m0", 0.0, 0.0), (902, AS_OF, None, 9.0, 0.0), (903, AS_OF, "m1", None, 0.0), (904, AS_OF, "m1", 9.0, None)]
+    crossed = RU.cross_thresholds(event_frame(spark, data), rule_frame(spark, rules))
+    want = sorted((k, r) for k, _, m, v, p in data for r, _, rm, t, on in rules
+                  if on and None not in (t, m, v, p) and rm == m and p < t <= v)
+    assert [tuple(r) for r in sorted(crossed.select("player_id", "rule_id").collect())] == want
+    assert join_rows(crossed) == [len(want)]
+
+
+def test_an_empty_catalog(spark):
+    events = event_frame(spark, [(1, AS_OF, "m", 30.0, 0.0)])
+    off = rule_frame(spark, [("A", "A", "m", 1.0, 0)])
+    assert RU.cross_thresholds(events, off).count() == 0 and RU.milestones(events, off).count() == 0
+
+
 def test_a_family_of_several_metrics(spark):
     rule = dict(lead_days=0, recognition_window_days=5, reward_type="PersonalNote", reward_budget_usd=1.0, action_owner="h",
                 priority_weight=1, recommended_action="a", talking_point="t", milestone_name="n", is_active=1, milestone_family="F")
