@@ -15,17 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accolade.functions.dates import month_index
+from accolade.operators.windows import days_within
 
 
 def days_after(daily: DataFrame, opened: dt.date | None, last: dt.date | None = None, day: str = "activity_date") -> DataFrame:
-    """Entity-days after ``opened`` and up to ``last``; both are literals, so they reach the scan."""
-    rows = daily if opened is None else daily.where(F.col(day) > F.lit(opened))
-    return rows if last is None else rows.where(F.col(day) <= F.lit(last))
-
-
-def days_between(daily: DataFrame, first: dt.date, last: dt.date | None, day: str = "activity_date") -> DataFrame:
-    """Entity-days from ``first`` on, up to ``last``."""
-    return days_after(daily, first - dt.timedelta(days=1), last, day)
+    """Entity-days after ``opened`` and up to ``last``."""
+    return days_within(daily, day, opened and opened + dt.timedelta(days=1), last)
 
 
 def closing_balance(

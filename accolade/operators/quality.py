@@ -89,16 +89,34 @@ def check_one_row_per_key(df: DataFrame, *columns: str) -> DataFrame:
 # --- runner ---------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Refers:
+    """A column whose values are looked up among those of another checked table's column.
+
+    A row is bad if its value is missing there, or, with ``barred``, if it is found there.  ``where``
+    limits the other table's rows.
+    """
+
+    column: str
+    table: str
+    key: str
+    barred: bool = False
+    where: Column | None = None
+
+
 @dataclass(frozen=True)
 class TableChecks:
-    """Checks of one table: predicates that mark a bad row, key sets that must be unique, and
-    ready-made frames of offending rows."""
+    """Checks of one table: predicates that mark a bad row, key sets that must be unique, ready-made
+    frames of offending rows, and values that must (not) occur in other tables.  ``counted`` holds bad rows by predicate where the pass
+    that wrote the table has counted them already."""
 
     table: str
     df: DataFrame
     bad_rows: Mapping[str, Column] = field(default_factory=dict)
     unique: Sequence[Sequence[str]] = ()
     violations: Mapping[str, DataFrame] = field(default_factory=dict)
+    refers: Mapping[str, Refers] = field(default_factory=dict)
+    counted: Mapping[str, int] = field(default_factory=dict)
 
 
 def not_null_and_unique(*columns: str) -> dict:
@@ -106,30 +124,69 @@ def not_null_and_unique(*columns: str) -> dict:
     return {"bad_rows": {f"not_null({c})": F.col(c).isNull() for c in columns}, "unique": [(c,) for c in columns]}
 
 
-def _counted(table: str, name: str, rows: DataFrame) -> DataFrame:
-    return rows.agg(F.count("*").alias("violations")).select(
-        F.lit(name).alias("check"), F.lit(table).alias("table"), "violations"
-    )
+def _key(*columns: str) -> Column:
+    """Text that is equal for equal values only; NULL parts are equal to each other."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    parts = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(p), F.lit(":"), p), F.lit("-")) for p in parts])
+
+
+ROWS, UNIQUE, MISSING, BARRED = "rows", "unique", "missing", "barred"
 
 
 def run_checks(tables: Sequence[TableChecks]) -> DataFrame:
-    """One row per check: ``(check, table, violations)``.
+    """One row per check: ``(check, table, violations)``, from one read of each table.
 
-    All row predicates of a table share a single aggregate over it.
+    A row of a table leaves marks: one for each predicate it breaks and one for each key it holds.
+    A mark has the number of its check and the key's text, and counts on the own side or on the
+    side of the table referred to.  The marks of all tables are grouped once by number and key;
+    equal ones combine before that exchange, so a value that is everywhere is one row per split.
     """
-    parts: list[DataFrame] = []
+    names: list[tuple[int, str, str, str, int | None]] = []
+    marks: dict[str, list[tuple[Column, Column]]] = {t.table: [] for t in tables}
+    text = F.lit(None).cast("string")
+    ready: list[DataFrame] = []
+
+    def mark(number: int, key: Column, own: bool) -> Column:
+        return F.struct(F.lit(number).alias("no"), key.alias("key"), F.lit(int(own)).alias("own"), F.lit(int(not own)).alias("other"))
+
+    def add(table: str, check: str, kind: str, known: int | None = None) -> int:
+        names.append((len(names), check, table, kind, known))
+        return len(names) - 1
+
     for t in tables:
-        if t.bad_rows:
-            names = list(t.bad_rows)
-            counts = t.df.agg(*[F.count_if(t.bad_rows[n]).alias(f"c{i}") for i, n in enumerate(names)])
-            pairs = F.array(
-                *[F.struct(F.lit(n).alias("check"), F.col(f"c{i}").alias("violations")) for i, n in enumerate(names)]
-            )
-            parts.append(
-                counts.select(F.explode(pairs).alias("p")).select(
-                    "p.check", F.lit(t.table).alias("table"), "p.violations"
-                )
-            )
-        parts += [_counted(t.table, f"unique({', '.join(k)})", check_unique(t.df, *k)) for k in t.unique]
-        parts += [_counted(t.table, name, rows) for name, rows in t.violations.items()]
-    return reduce(DataFrame.unionByName, parts)
+        for check, bad in t.bad_rows.items():
+            known = t.counted.get(check)
+            number = add(t.table, check, ROWS, known)
+            if known is None:
+                marks[t.table].append((bad, mark(number, text, True)))
+        for columns in t.unique:
+            number = add(t.table, f"unique({', '.join(columns)})", UNIQUE)
+            value = F.col(columns[0]).isNotNull() if len(columns) == 1 else F.lit(True)
+            marks[t.table].append((value, mark(number, _key(*columns), True)))
+        for check, rows in t.violations.items():
+            ready.append(rows.select(mark(add(t.table, check, ROWS), text, True).alias("m")).select("m.*"))
+        for check, ref in t.refers.items():
+            number = add(t.table, check, BARRED if ref.barred else MISSING)
+            marks[t.table].append((F.col(ref.column).isNotNull(), mark(number, _key(ref.column), True)))
+            inside = F.col(ref.key).isNotNull() if ref.where is None else ref.where & F.col(ref.key).isNotNull()
+            marks[ref.table].append((inside, mark(number, _key(ref.key), False)))
+    left = ready + [
+        t.df.select(F.explode(F.array(*[F.when(c, m) for c, m in marks[t.table]])).alias("m")).where("m IS NOT NULL").select("m.*")
+        for t in tables if marks[t.table]
+    ]
+    spark = tables[0].df.sparkSession
+    listed = spark.createDataFrame(names, "no int, check string, table string, kind string, known long")
+    if not left:
+        return listed.select("check", "table", F.coalesce("known", F.lit(0)).alias("violations"))
+    keyed = reduce(DataFrame.unionByName, left).groupBy("no", "key").agg(F.sum("own").alias("own"), F.sum("other").alias("other"))
+    numbers = lambda kind: F.col("no").isin([n[0] for n in names if n[3] == kind])
+    bad = (
+        F.when(numbers(UNIQUE), (F.col("own") > 1).cast("long"))
+        .when(numbers(MISSING), F.when(F.col("other") == 0, F.col("own")))
+        .when(numbers(BARRED), F.when(F.col("other") > 0, F.col("own")))
+        .otherwise(F.col("own"))
+    )
+    found = keyed.groupBy("no").agg(F.sum(bad).alias("n"))
+    return listed.join(found, "no", "left").select("check", "table", F.coalesce("known", "n", F.lit(0)).alias("violations"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from accolade import policy as P
 from accolade.functions.dates import days_ago
-from accolade.operators.windows import within_trailing
+from accolade.operators.windows import days_within, within_trailing
 from accolade.policy import Policy
 
 
@@ -76,7 +76,7 @@ def baseline_anomaly(
     """
     reach = max(policy.rg_baseline_days, policy.rg_recent_days)
     totals = (
-        daily.where(within_trailing(F.col(day), as_of, reach))
+        days_within(daily, day, as_of - dt.timedelta(days=reach - 1), as_of)
         .groupBy(key)
         .agg(*[c.alias(n) for n, c in anomaly_aggregates(day, as_of, policy).items()])
         .where(F.col("recent_days") > 0)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accolade.functions.dates import days_ago
+from accolade.sources.sinks import month_column
 
 
 def within_trailing(day: Column, as_of: dt.date, days: int, lag_days: int = 0) -> Column:
@@ -19,6 +20,21 @@ def within_trailing(day: Column, as_of: dt.date, days: int, lag_days: int = 0) -
     return (day > days_ago(as_of, days)) & (day <= days_ago(as_of, lag_days))
 
 
+def days_within(df: DataFrame, day: str, first: dt.date | None, last: dt.date | None) -> DataFrame:
+    """Rows of the days from ``first`` to ``last``, either end open if None.
+
+    Days are compared with literals, which reach the scan; where the table has folders of months,
+    these are cut too, so that no file of another month is opened.
+    """
+    month = month_column(day)
+    for bound, cut in ((first, Column.__ge__), (last, Column.__le__)):
+        if bound is not None:
+            df = df.where(cut(F.col(day), F.lit(bound)))
+            if month in df.columns:
+                df = df.where(cut(F.col(month), F.lit(bound.replace(day=1))))
+    return df
+
+
 def trailing_agg(
     df: DataFrame,
     key: str | Sequence[str],
@@ -31,7 +47,7 @@ def trailing_agg(
     """Aggregates per entity over one trailing window."""
     keys = [key] if isinstance(key, str) else list(key)
     return (
-        df.where(within_trailing(F.col(day), as_of, days, lag_days))
+        days_within(df, day, as_of - dt.timedelta(days=days - 1), as_of - dt.timedelta(days=lag_days))
         .groupBy(*keys)
         .agg(*[expr.alias(name) for name, expr in aggs.items()])
     )

@@ -29,7 +29,7 @@ from accolade.operators.events import unpivot_cumulative
 from accolade.plans import balance_book as BB
 from accolade.plans import guest360 as G
 from accolade.plans import recommend as RE
-from accolade.plans.pipeline import Keep, Recognition, cutting, lazily, publish_staging
+from accolade.plans.pipeline import STAGED_WORKLIST, Keep, Recognition, cutting, lazily, publish_staging
 from accolade.plans.rolling import RollingMilestones
 from accolade.policy import Policy
 from accolade.sources import readers, sample, sinks
@@ -504,7 +504,7 @@ def dq_report(run: Recognition) -> DataFrame:
 
 # Tables that the report reads several times.
 REPORT_LABELS = ("guest_activity_daily", "guest_metric_events", "guest_360", "guest_milestones", "recommendations",
-                 "daily_worklist")
+                 STAGED_WORKLIST)
 
 
 def _whole_cut(pick: Callable[[Recognition], DataFrame]) -> Query:

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Collection, Iterable, Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accolade import policy as P
@@ -16,7 +16,8 @@ from accolade.operators import events as EV
 from accolade.operators import quality as Q
 from accolade.operators import rules as RU
 from accolade.operators import signals as SG
-from accolade.operators.balances import days_after, days_between
+from accolade.operators.balances import days_after
+from accolade.operators.windows import days_within
 from accolade.plans import guest360 as G
 from accolade.plans import recommend as RE
 from accolade.plans.activity import guest_activity
@@ -55,6 +56,13 @@ INTERMEDIATE = (
     "guest_activity_daily", "guest_cumulative_daily", "guest_visit_streaks", "guest_calendar_events",
     "guest_metric_events", "guest_rg_signals", "guest_comp_budget",
 )
+STAGED_WORKLIST = "daily_worklist_staged"
+#: Columns of staged tables that must be there and unique.
+STAGED_KEYS = {
+    "player": ("player_id",), "member": ("member_id", "player_id"), "player_session": ("session_id",),
+    "check": ("check_id",), "reservation": ("reservation_id",),
+}
+LAYERS = ("staged", "intermediate", "marts")
 MARTS = ("guest_profile", "guest_360", "guest_milestones", "recommendations", "daily_worklist")
 
 
@@ -84,6 +92,20 @@ class Recognition:
         self._keep = keep
         self._activity = activity
         self.balances = balances
+        #: Labels that ``keep`` has stored, and bad rows it has counted in the pass that wrote them.
+        self.stored: set[str] = set()
+        self.counted: dict[str, dict[str, int]] = {}
+
+    def _store(self, df: DataFrame, label: str) -> DataFrame:
+        """Hand a table to ``keep``; one that can watch counts the table's bad rows as it writes."""
+        watch = self.row_checks.get(label)
+        if watch and hasattr(self._keep, "watched"):
+            kept, self.counted[label] = self._keep.watched(df, label, watch)
+        else:
+            kept = self._keep(df, label)
+        if kept is not df:
+            self.stored.add(label)
+        return kept
 
     # --- intermediate ------------------------------------------------------------
 
@@ -96,16 +118,16 @@ class Recognition:
         """One row per guest and business day, computed or as handed in."""
         if self._activity is not None:
             return self._activity
-        return self._keep(guest_activity(self.staged, self.policy), "guest_activity_daily")
+        return self._store(guest_activity(self.staged, self.policy), "guest_activity_daily")
 
     @cached_property
     def cumulative(self) -> DataFrame:
         totals = ED.running_totals(self.activity, self.policy.cumulative_metrics)
-        return self._keep(totals, "guest_cumulative_daily")
+        return self._store(totals, "guest_cumulative_daily")
 
     @cached_property
     def streaks(self) -> DataFrame:
-        return self._keep(ED.month_streaks(self.activity, F.col("visit_flag") == 1), "guest_visit_streaks")
+        return self._store(ED.month_streaks(self.activity, F.col("visit_flag") == 1), "guest_visit_streaks")
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -115,7 +137,7 @@ class Recognition:
         near = (self.as_of, self.policy.calendar_window_days)
         birthdays = EV.birthday_events(guests, *near)
         anniversaries = EV.membership_events(members, *near).join(guests.select("player_id"), "player_id", "left_semi")
-        return self._keep(EV.metric_events(birthdays, anniversaries), "guest_calendar_events")
+        return self._store(EV.metric_events(birthdays, anniversaries), "guest_calendar_events")
 
     def _day_events(self, totals: DataFrame) -> DataFrame:
         """Running totals, streaks, comebacks and big wins: all from one pass over the guest's days.
@@ -156,7 +178,7 @@ class Recognition:
     @cached_property
     def metric_events(self) -> DataFrame:
         """The one long table every milestone is looked up in."""
-        return self._keep(
+        return self._store(
             EV.metric_events(self._day_events(self.cumulative), self._tier_events(), self.calendar), "guest_metric_events"
         )
 
@@ -178,7 +200,7 @@ class Recognition:
         """All metric events of the days from ``first`` to ``last`` (others may come with them), from
         the days since the balance before ``first``."""
         opened, opening = self._opened(first)
-        active = days_between(self.activity, first, last).select("player_id")
+        active = days_within(self.activity, "activity_date", first, last).select("player_id")
         history = days_after(self.activity, opened, last).join(active, "player_id", "left_semi")
         totals = ED.running_totals(history, self.policy.cumulative_metrics, opening=opening)
         return EV.metric_events(self._day_events(totals), self._tier_events(), self.calendar)
@@ -186,7 +208,7 @@ class Recognition:
     @cached_property
     def rg_signals(self) -> DataFrame:
         signals = SG.baseline_anomaly(self.activity, self.as_of, self.policy)
-        return self._keep(signals, "guest_rg_signals")
+        return self._store(signals, "guest_rg_signals")
 
     @cached_property
     def comp_budget(self) -> DataFrame:
@@ -197,7 +219,7 @@ class Recognition:
             F.sum("comps_window_usd").alias("comps_window_usd"),
             F.max("last_comp_date").alias("last_comp_date"),
         )
-        return self._keep(per_guest, "guest_comp_budget")
+        return self._store(per_guest, "guest_comp_budget")
 
     # --- marts --------------------------------------------------------------------
 
@@ -207,11 +229,11 @@ class Recognition:
         opened, opening = self._opened(self.as_of - dt.timedelta(days=G.snapshot_reach(self.policy) - 1))
         days = days_after(self.activity, opened)
         profile = G.guest_profile(self.staged, days, self.as_of, self.policy, opening)
-        return self._keep(profile, "guest_profile")
+        return self._store(profile, "guest_profile")
 
     @cached_property
     def guest_360(self) -> DataFrame:
-        return self._keep(G.entity_360(self.profile), "guest_360")
+        return self._store(G.entity_360(self.profile), "guest_360")
 
     @cached_property
     def catalog(self) -> RU.Catalog | None:
@@ -220,7 +242,7 @@ class Recognition:
 
     @cached_property
     def milestones(self) -> DataFrame:
-        return self._keep(RU.milestones(self.metric_events, self.rules, catalog=self.catalog), "guest_milestones")
+        return self._store(RU.milestones(self.metric_events, self.rules, catalog=self.catalog), "guest_milestones")
 
     @cached_property
     def _widest_window(self) -> tuple[dt.date, dt.date]:
@@ -234,67 +256,96 @@ class Recognition:
     @cached_property
     def recommendations(self) -> DataFrame:
         """From the events of the widest rule window alone: a day's list does not go through the
-        history of guests who did nothing in it."""
-        near = RU.milestones(self._near_events(), self.rules, catalog=self.catalog)
+        history of guests who did nothing in it.  Milestones that this run has stored are read by
+        their day instead."""
+        if "guest_milestones" in self.stored:
+            near = days_within(self.milestones, "event_date", *self._widest_window)
+        else:
+            near = RU.milestones(self._near_events(), self.rules, catalog=self.catalog)
         recs = RE.recommendations(near, self.profile, self.comp_budget, self.guardrails, self.as_of, self.policy)
-        return self._keep(recs, "recommendations")
+        return self._store(recs, "recommendations")
 
     @cached_property
     def listed(self) -> DataFrame:
-        """The worklist before it is published: what the checks look at."""
-        return RE.worklist(self.recommendations, self.policy)
+        """The worklist before it is published: what the checks look at, and what is published then.
+        Where tables are stored it is stored under a name of its own, so it is computed once."""
+        return self._store(RE.worklist(self.recommendations, self.policy), STAGED_WORKLIST)
 
     @cached_property
     def worklist(self) -> DataFrame:
-        return self._keep(self.listed, "daily_worklist")
+        return self._store(self.listed, "daily_worklist")
 
     # --- quality --------------------------------------------------------------------
 
-    def checks(self) -> list[Q.TableChecks]:
-        """Every column, key and business-rule check of the run."""
-        keyed = {
-            "player": ("player_id",), "member": ("member_id", "player_id"), "player_session": ("session_id",),
-            "check": ("check_id",), "reservation": ("reservation_id",),
-        }
-        staged = [
-            Q.TableChecks(name, self.staged[name], **Q.not_null_and_unique(*cols)) for name, cols in keyed.items()
-        ]
-        null = lambda c: {f"not_null({c})": F.col(c).isNull()}
-        recs, listed = self.recommendations, self.listed
-        return staged + [
-            Q.TableChecks("rules", self.rules, {
-                **null("rule_id"), **null("reward_budget_usd"),
+    @cached_property
+    def row_checks(self) -> dict[str, dict[str, Column]]:
+        """By table, what makes a row bad on its own."""
+        null = lambda *columns: {f"not_null({c})": F.col(c).isNull() for c in columns}
+        return {
+            **{name: null(*columns) for name, columns in STAGED_KEYS.items()},
+            "rules": {
+                **null("rule_id", "reward_budget_usd"),
                 "accepted_values(reward_type)": Q.outside("reward_type", P.REWARD_TYPES),
                 "accepted_values(metric_name)": Q.outside("metric_name", P.METRIC_NAMES),
-            }, [("rule_id",)]),
-            Q.TableChecks("guardrails", self.guardrails, **Q.not_null_and_unique("tier_id")),
-            Q.TableChecks("guest_activity_daily", self.activity, null("player_id"), [("player_id", "activity_date")]),
-            Q.TableChecks("guest_metric_events", self.metric_events, null("metric_name")),
-            Q.TableChecks("guest_rg_signals", self.rg_signals, **Q.not_null_and_unique("player_id")),
-            Q.TableChecks("guest_360", self.guest_360, {**null("player_id"), **null("is_eligible")}, [("player_id",)]),
-            Q.TableChecks("guest_milestones", self.milestones, null("milestone_id"), [("milestone_id",)], {
-                "relationships(rule_id)": Q.check_relationships(self.milestones, "rule_id", self.rules, "rule_id"),
-            }),
-            Q.TableChecks("recommendations", recs, {
+            },
+            "guardrails": null("tier_id"),
+            "guest_activity_daily": null("player_id"),
+            "guest_metric_events": null("metric_name"),
+            "guest_rg_signals": null("player_id"),
+            "guest_360": null("player_id", "is_eligible"),
+            "guest_milestones": null("milestone_id"),
+            "recommendations": {
                 **null("recommendation_id"),
                 "accepted_values(recommendation_status)": Q.outside("recommendation_status", P.STATUSES),
                 "no_incentive_when_flagged": Q.incentive_while_flagged(),
                 "reward_within_budget": Q.reward_over_budget(),
                 "script_match": Q.wrong_script(self.policy.check_in_phrase),
-            }, [("recommendation_id",)]),
-            Q.TableChecks("daily_worklist", listed, {**null("recommendation_id"), **null("player_id")},
-                          [("recommendation_id",), ("player_id",), ("property_id", "player_id")], {
-                "excludes_ineligible": Q.check_excludes_ineligible(listed, self.guest_360),
-            }),
-        ]
-
-    def check_report(self) -> DataFrame:
-        return Q.run_checks(self.checks())
+            },
+            STAGED_WORKLIST: null("recommendation_id", "player_id"),
+        }
 
-    def violations(self, warn_only: Collection[str] = ()) -> list[str]:
+    def checks(self, layers: Collection[str] = LAYERS) -> list[Q.TableChecks]:
+        """Column, key and business-rule checks of the run's layers, in the order they depend on each other."""
+
+        def table(
+            label: str, df: DataFrame, *unique: tuple[str, ...], name: str = "", refers: Mapping[str, Q.Refers] | None = None
+        ) -> Q.TableChecks:
+            return Q.TableChecks(
+                name or label, df, self.row_checks[label], unique, refers=refers or {}, counted=self.counted.get(label, {})
+            )
+
+        out: list[Q.TableChecks] = []
+        if "staged" in layers:
+            out += [table(name, self.staged[name], *[(c,) for c in columns]) for name, columns in STAGED_KEYS.items()]
+            out += [table("rules", self.rules, ("rule_id",)), table("guardrails", self.guardrails, ("tier_id",))]
+        elif "marts" in layers:
+            out.append(Q.TableChecks("rules", self.rules))  # only referred to
+        if "intermediate" in layers:
+            out += [
+                table("guest_activity_daily", self.activity, ("player_id", "activity_date")),
+                table("guest_metric_events", self.metric_events),
+                table("guest_rg_signals", self.rg_signals, ("player_id",)),
+            ]
+        if "marts" in layers:
+            barred = Q.Refers("player_id", "guest_360", "player_id", barred=True, where=~F.col("is_eligible"))
+            out += [
+                table("guest_360", self.guest_360, ("player_id",)),
+                table("guest_milestones", self.milestones, ("milestone_id",), refers={
+                    "relationships(rule_id)": Q.Refers("rule_id", "rules", "rule_id"),
+                }),
+                table("recommendations", self.recommendations, ("recommendation_id",)),
+                table(STAGED_WORKLIST, self.listed, ("recommendation_id",), ("player_id",), ("property_id", "player_id"),
+                      name="daily_worklist", refers={"excludes_ineligible": barred}),
+            ]
+        return out
+
+    def check_report(self, layers: Collection[str] = LAYERS) -> DataFrame:
+        return Q.run_checks(self.checks(layers))
+
+    def violations(self, warn_only: Collection[str] = (), layers: Collection[str] = LAYERS) -> list[str]:
         """Checks that fail, as ``table.check: rows``; those in ``warn_only`` are left out.  The report
         has a row for each check, so the list is short whatever the data."""
-        failed = self.check_report().where(F.col("violations") > 0).collect()
+        failed = self.check_report(layers).where(F.col("violations") > 0).collect()
         named = [(f"{r['table']}.{r['check']}", r["violations"]) for r in failed]
         return [f"{name}: {n}" for name, n in sorted(named) if name not in warn_only]
 
@@ -302,11 +353,17 @@ class Recognition:
 class TablesKept:
     """Stores every table in the catalog, one schema per layer, overwritten on each run.
 
-    Tables with one guest per row, or a guest's days, are bucketed and sorted by guest: the
-    entity-day exchange is paid once, and later windows, groupings and joins on the guest
-    read their buckets in place.
+    Tables with one guest per row, or a guest's days, are bucketed by guest: the entity-day exchange
+    is paid once, and later windows, groupings and joins on the guest read their buckets in place.
+    Those with a day lie in folders of months as well, so a range of days opens its months' files
+    only.  The worklist has a folder for each property, the unit in which it is read.
     """
 
+    DAYS = {
+        "guest_activity_daily": "activity_date", "guest_cumulative_daily": "activity_date",
+        "guest_metric_events": "event_date", "guest_milestones": "event_date",
+    }
+
     def __init__(self, prefix: str = "accolade", buckets: int | None = None, root: str | None = None):
         self.prefix, self.buckets, self.root = prefix, buckets, root
 
@@ -314,13 +371,20 @@ class TablesKept:
         return f"{self.prefix}_{'recognition' if label in MARTS else 'intermediate'}"
 
     def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        return self.watched(df, label, {})[0]
+
+    def watched(self, df: DataFrame, label: str, watch: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+        """Store a table and count the rows that meet each predicate on the way."""
         schema = self.schema_of(label)
         where = f" LOCATION '{self.root}/{schema}'" if self.root else ""
         df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{where}")
+        name, day = f"{schema}.{label}", self.DAYS.get(label)
         if label == "daily_worklist":
-            return save_table(df, f"{schema}.{label}")
-        sort = ["player_id"] + [c for c in ("activity_date",) if c in df.columns]
-        return save_table(df, f"{schema}.{label}", "player_id", sort, self.buckets)
+            return save_table(df, name, partition_by=("property_name",), watch=watch)
+        if label == STAGED_WORKLIST:
+            return save_table(df, name, watch=watch)
+        sort = ["player_id"] + ([day] if day else [])
+        return save_table(df, name, "player_id", sort, self.buckets, month_of=day, watch=watch)
 
 
 def publish_staging(run: Recognition, prefix: str = "") -> None:
@@ -337,17 +401,32 @@ def build(
     run: Recognition,
     only: Iterable[str] = ("worklist", "guest_360", "rg_signals", "streaks", "milestones"),
     warn_only: Collection[str] = (),
+    freshness: DataFrame | None = None,
 ) -> None:
     """Build the named tables and all they depend on, through the run's ``keep``.
 
-    The worklist comes last, and only if every check of the run passes (``warn_only`` names
-    checks, as ``table.check``, that may fail); otherwise the one published before stays.
+    Each layer is checked before the next is written: the landed tables' age (``freshness``, a
+    ``freshness_report``) and the staged tables before anything, the intermediate tables before the
+    marts, and everything the worklist is made of, itself included, before it is published.  A
+    failed check stops the build there, and what was published before stays.  ``warn_only``
+    names checks, as ``table.check``, that may fail; a source that is only late enough to warn passes.
     """
     names = list(only)
+
+    def gate(layer: str) -> None:
+        if failed := run.violations(warn_only, [layer]):
+            raise ChecksFailed("; ".join(failed))
+
+    if freshness is not None:
+        stale = sorted(f"{r['source']}: newest row {r['newest']}" for r in freshness.where("status = 'error'").collect())
+        if stale:
+            raise ChecksFailed("; ".join(stale))
+    gate("staged")
+    if {"worklist", "guest_360", "milestones"} & set(names):
+        gate("intermediate")
     for name in names:
         if name != "worklist":
             getattr(run, name)
     if "worklist" in names:
-        if failed := run.violations(warn_only):
-            raise ChecksFailed("; ".join(failed))
+        gate("marts")
         run.worklist  # noqa: B018 - built on first use

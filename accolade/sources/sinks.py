@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -57,6 +57,11 @@ def read_partitions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).where(~F.col(GONE)).drop(GONE)
 
 
+def month_column(day: str) -> str:
+    """Name of the column that holds the first day of a day's month, where a table has folders of months."""
+    return f"{day}_month"
+
+
 def save_table(
     df: DataFrame,
     name: str,
@@ -64,24 +69,47 @@ def save_table(
     sort_by: Sequence[str] = (),
     buckets: int | None = None,
     path: str | None = None,
-) -> DataFrame:
-    """Full overwrite of a catalog table, optionally bucketed and sorted by an entity key.
-
-    Rows are hash-partitioned to the bucket count first, so each task writes one file; later
-    joins, groupings and windows on the key then need no exchange.
+    month_of: str | None = None,
+    partition_by: Sequence[str] = (),
+    watch: Mapping[str, Column] | None = None,
+) -> tuple[DataFrame, dict[str, int]]:
+    """Full overwrite of a catalog table; returns the stored table and the counts of ``watch``.
+
+    With ``bucket_by``, rows are hash-partitioned by an entity key to the bucket count first, so later
+    joins, groupings and windows on the key need no exchange.  With ``month_of``, a bucket is cut
+    into folders by the month of that day as well: a range of days (``days_within``) then opens the
+    files of its months only.  A task writes one file for each folder of its bucket.
+
+    ``watch`` names predicates; the rows that meet them are counted by the pass that writes, below
+    every exchange, so a task that runs again counts once.
     """
     spark = df.sparkSession
+    folders = [*partition_by]
+    rows = df
+    if month_of:
+        folders.append(month_column(month_of))
+        rows = rows.withColumn(folders[-1], F.trunc(month_of, "MM"))
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if bucket_by:
+        rows = rows.repartition(n, F.col(bucket_by))
+    elif folders:
+        rows = rows.hint("rebalance", *folders)
+    seen = Observation()
+    if watch:
+        rows = rows.observe(seen, *[F.count_if(c).alias(f"watch_{i}") for i, c in enumerate(watch.values())])
+    writer = rows.write
+    if folders:
+        writer = writer.partitionBy(*folders)
     if bucket_by:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = df.repartition(n, F.col(bucket_by)).write.bucketBy(n, bucket_by)
+        writer = writer.bucketBy(n, bucket_by)
         if sort_by:
             writer = writer.sortBy(*sort_by)
-    else:
-        writer = df.write
     if path:
         writer = writer.option("path", path)
     writer.mode("overwrite").format("parquet").saveAsTable(name)
-    return spark.table(name)
+    counts = seen.get if watch else {}
+    stored = spark.table(name).select(*df.columns, *[c for c in folders if c not in df.columns])
+    return stored, {check: counts.get(f"watch_{i}", 0) for i, check in enumerate(watch or {})}
 
 
 #: Folders that ``cut`` and its callers wrote in this process, oldest first.
@@ -134,7 +162,7 @@ def cut(df: DataFrame, label: str, bucket_by: str | None = None, sort_by: Sequen
         return spark.read.schema(df.schema).parquet(path)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SCRATCH_SCHEMA}")
     name = f"{SCRATCH_SCHEMA}.{path.rpartition('/')[2]}"
-    stored = save_table(df, name, bucket_by, sort_by, path=path)
+    stored, _ = save_table(df, name, bucket_by, sort_by, path=path)
     spark.sql(f"DROP TABLE {name}")  # the plan holds files and buckets; the entry is not needed to read them
     return stored
 

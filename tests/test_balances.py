@@ -99,7 +99,7 @@ def test_the_daily_list_reads_the_days_since_the_balance(spark):
     recs = balanced.recommendations
     assert rows(recs) == rows(run.recommendations.select(*recs.columns))
     scans = [line for line in plan(recs).splitlines() if "FileScan" in line and "theo_win" in line and "activity_date" in line and "through=" not in line]
-    assert scans and all(f"GreaterThan(activity_date,{d})" in line for line in scans for d in [near if str(near) in line else old])
+    assert scans and all(f"GreaterThanOrEqual(activity_date,{d + dt.timedelta(days=1)})" in line for line in scans for d in [near if str(near + dt.timedelta(days=1)) in line else old])
 
 
 def late_sessions(spark, first):

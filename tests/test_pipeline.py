@@ -12,6 +12,8 @@ from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 from accolade import policy as P
+from accolade.operators import signals as SG
+from accolade.operators import windows as W
 from accolade.plans import catalog
 from accolade.plans.pipeline import ChecksFailed, Recognition, TablesKept, build, cutting, publish_staging
 from accolade.policy import Policy
@@ -201,7 +203,8 @@ def test_catalog_build_equals_the_lazy_run(spark):
     kept = catalog.recognition_run(spark, SMALL, TablesKept(prefix, buckets=4, root=root))
     build(kept)
     lazy = catalog.recognition_run(spark, SMALL)
-    assert rows(spark.table(f"{prefix}_recognition.daily_worklist")) == rows(lazy.worklist)
+    listed = lazy.worklist  # the stored one has a folder for each property, whose name comes last there
+    assert rows(spark.table(f"{prefix}_recognition.daily_worklist"), *listed.columns) == rows(listed)
     assert rows(spark.table(f"{prefix}_recognition.guest_360")) == rows(lazy.guest_360)
     tables = {t.name for t in spark.catalog.listTables(f"{prefix}_intermediate")}
     assert {"guest_activity_daily", "guest_metric_events", "guest_rg_signals", "guest_comp_budget",
@@ -213,6 +216,91 @@ def test_catalog_build_equals_the_lazy_run(spark):
     assert spark.table(f"{prefix}_recognition.daily_worklist").count() == lazy.worklist.count()
 
 
+def scan_counts(df, metric="numFiles"):
+    """Of every file scan of a plan that ran, what its own counter says."""
+    df.collect()
+    executed = df._jdf.queryExecution().executedPlan()
+    todo, found = [executed.executedPlan() if "Adaptive" in executed.getClass().getName() else executed], []
+    while todo:
+        node = todo.pop()
+        if "QueryStage" in node.getClass().getName():
+            node = node.plan()
+        if "FileSourceScan" in node.getClass().getName():
+            found.append(node.metrics().get(metric).get().value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_a_range_of_days_opens_the_files_of_its_months(spark):
+    prefix, buckets = f"t{uuid.uuid4().hex[:8]}", 2
+    kept = catalog.recognition_run(spark, SMALL, TablesKept(prefix, buckets, sinks.shared_folder(spark) + f"/{prefix}"))
+    lazy = catalog.recognition_run(spark, SMALL)
+    whole = scan_counts(kept.activity.select("player_id", "theo_win"))[0]
+    months = kept.activity.select("activity_date_month").distinct().count()
+    assert buckets * 20 < whole <= buckets * months
+    trailing = lambda run: W.trailing_agg(run.activity, "player_id", "activity_date", run.as_of, 60, {"n": F.sum("visit_flag")})
+    assert scan_counts(trailing(kept))[0] <= 3 * buckets and rows(trailing(kept)) == rows(trailing(lazy))
+    signals = SG.baseline_anomaly(kept.activity, kept.as_of, kept.policy)
+    assert scan_counts(signals)[0] <= 4 * buckets and rows(signals) == rows(lazy.rg_signals)
+    assert rows(kept.milestones, *lazy.milestones.columns) == rows(lazy.milestones)
+    stored = scan_counts(spark.table(f"{prefix}_recognition.guest_milestones").select("rule_id", "player_id"))[0]
+    recs = kept.recommendations  # from the stored milestones, by their day
+    near = W.days_within(kept.milestones, "event_date", *kept._widest_window)
+    assert scan_counts(near)[0] <= 3 * buckets < stored
+    assert rows(recs, *lazy.recommendations.columns) == rows(lazy.recommendations)
+    some = kept.worklist.select("property_name").first()[0]
+    table = spark.table(f"{prefix}_recognition.daily_worklist")
+    assert scan_counts(table.where(F.col("property_name") == some).select("player_id"))[0] < scan_counts(table.select("player_id"))[0]
+
+
+def test_the_write_counts_bad_rows_and_the_list_is_computed_once(spark):
+    prefix = f"t{uuid.uuid4().hex[:8]}"
+    kept = catalog.recognition_run(spark, SMALL, TablesKept(prefix, 2, sinks.shared_folder(spark) + f"/{prefix}"))
+    build(kept)
+    assert kept.counted["guest_360"] == {"not_null(player_id)": 0, "not_null(is_eligible)": 0}
+    assert set(kept.counted["recommendations"]) == set(kept.row_checks["recommendations"])
+    lazy = catalog.recognition_run(spark, SMALL)
+    assert rows(kept.check_report()) == rows(lazy.check_report())
+    assert all("daily_worklist_staged" in f for f in kept.listed.inputFiles())
+    reads = kept.check_report(["marts"])._jdf.queryExecution().optimizedPlan().toString()
+    for table in ("guest_360", "guest_milestones", "recommendations", "daily_worklist_staged"):
+        assert reads.count(f".{table}[") + reads.count(f"`{table}`") <= 1, table
+
+
+def test_counts_of_the_write(spark):
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, None)], "player_id int, x string")
+    name = f"t{uuid.uuid4().hex[:8]}"
+    watch = {"gone": F.col("x").isNull(), "never": F.col("player_id") < 0}
+    path = sinks.fresh_path(spark, name)
+    assert sinks.save_table(df, name, "player_id", buckets=2, path=path, watch=watch)[1] == {"gone": 2, "never": 0}
+    assert sinks.save_table(df.limit(0), name, path=path, watch=watch)[1] == {"gone": 0, "never": 0}
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_each_layer_is_checked_before_the_next(spark):
+    r = catalog.recognition_run(spark, SMALL)
+    r.staged = {**r.staged, "check": r.staged["check"].unionByName(r.staged["check"].limit(1))}
+    with pytest.raises(ChecksFailed, match="check.unique.check_id"):
+        build(r)
+    assert not {"activity", "guest_360", "milestones", "recommendations"} & set(r.__dict__)
+    r = catalog.recognition_run(spark, SMALL)
+    r.__dict__["rg_signals"] = r.rg_signals.unionByName(r.rg_signals)
+    with pytest.raises(ChecksFailed, match="guest_rg_signals.unique"):
+        build(r)
+    assert not {"guest_360", "milestones", "recommendations"} & set(r.__dict__)
+
+
+def test_stale_sources_stop_a_build(spark):
+    r = catalog.recognition_run(spark, SMALL)
+    seen = "source string, newest timestamp, age_hours double, status string"
+    late = spark.createDataFrame([("comp", None, None, "error"), ("check", None, 3.0, "warn")], seen)
+    with pytest.raises(ChecksFailed, match="comp: newest row None"):
+        build(r, ["rg_signals"], freshness=late)
+    build(r, ["rg_signals"], freshness=late.where("status = 'warn'"))
+    assert "rg_signals" in r.__dict__
+
+
 def test_cut_is_bucketed_and_leaves_no_catalog_entry(spark):
     before = {t.name for t in spark.catalog.listTables()}
     r = catalog.recognition_run(spark, SMALL, cutting("guest_activity_daily"))
