@@ -5,14 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accolade import policy as P
 from accolade.functions.dates import age_on
 from accolade.functions.recognition import ineligible_reason, is_eligible
 from accolade.operators.signals import anomaly_aggregates, sum_when, with_anomaly
-from accolade.operators.windows import favorite, latest_in_interval, within_trailing
+from accolade.operators.windows import best_per_key, favorite_code, latest_in_interval, latest_value, moment_order, value_codes, within_trailing
 from accolade.policy import Policy
 
 
@@ -59,44 +59,68 @@ def _continued(opening: DataFrame, grouped: DataFrame, policy: Policy) -> DataFr
     }).select(*grouped.columns)
 
 
+def _favorite_first() -> list[Column]:
+    return [F.col("minutes").desc_nulls_last(), F.col("favorite_game_category").asc_nulls_last()]
+
+
 def favorite_game(sessions: DataFrame, as_of: dt.date, policy: Policy) -> DataFrame:
-    """Game category with the most minutes over the trailing year."""
+    """Game category with the most minutes over the trailing year.
+
+    Minutes are summed per guest and game first, so the ranking sees a row for each game of a guest.
+    """
     recent = sessions.where(within_trailing(F.col("gaming_date"), as_of, policy.trailing_days))
     per_game = recent.groupBy("player_id", F.col("game_category").alias("favorite_game_category")).agg(
         F.sum("minutes_played").alias("minutes")
     )
-    return favorite(per_game, "player_id", ["favorite_game_category"], "minutes")
+    return best_per_key(per_game, "player_id", _favorite_first()).select("player_id", "favorite_game_category")
+
+
+def guest_sessions(sessions: DataFrame, as_of: dt.date, policy: Policy) -> DataFrame:
+    """Favourite game, and where the guest last played on the as-of day, from one read of the sessions.
+
+    One grouping by guest and game serves both: each game keeps its last property of the day beside
+    the minutes, and the window that ranks a guest's games takes the latest of these.
+    """
+    recent = sessions.where(within_trailing(F.col("gaming_date"), as_of, policy.trailing_days))
+    today = F.when(F.col("gaming_date") == F.lit(as_of), moment_order(sessions, "end_time", "session_id"))
+    per_game = recent.groupBy("player_id", F.col("game_category").alias("favorite_game_category")).agg(
+        F.sum("minutes_played").alias("minutes"), F.max(today).alias("last_"), F.max_by("property_id", today).alias("property_"),
+    )
+    of_guest = Window.partitionBy("player_id").orderBy(*_favorite_first())
+    whole = of_guest.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = per_game.withColumns({
+        "rank_": F.row_number().over(of_guest), "playing_property_id": F.max_by("property_", "last_").over(whole),
+    })
+    return ranked.where("rank_ = 1").select("player_id", "favorite_game_category", "playing_property_id")
 
 
 def favorite_outlet(checks: DataFrame, members: DataFrame, outlets: DataFrame) -> DataFrame:
     """Outlet with the highest closed spend per guest, over all time.
 
-    Spend is summed per member and outlet first: the joins then see one row per pair.  One
-    exchange on the guest then serves both remaining groupings and the join to the guest.
+    Spend is summed per member and outlet first: the joins then see one row per pair.  Outlets of one
+    name and type count as one; they travel as a code of the outlet table.  One exchange on the
+    guest then serves both remaining groupings and the join to the guest.
     """
     paid = checks.where((F.col("check_status") == P.CLOSED_CHECK) & F.col("member_id").isNotNull())
     per_outlet = paid.groupBy("member_id", "outlet_id").agg(F.sum("subtotal").alias("spend"))
-    named = outlets.select(
-        "outlet_id",
-        F.col("outlet_name").alias("favorite_outlet_name"),
-        F.col("outlet_type").alias("favorite_outlet_type"),
-    )
     values = ["favorite_outlet_name", "favorite_outlet_type"]
+    named = outlets.select("outlet_id", F.col("outlet_name").alias(values[0]), F.col("outlet_type").alias(values[1]))
+    codes = value_codes(named, values)
+    coded = named.join(codes.select("code", *[F.col(v).alias(f"{v}_c") for v in values]), [F.col(v).eqNullSafe(F.col(f"{v}_c")) for v in values])
     spend = (
-        per_outlet.join(named, "outlet_id")
+        per_outlet.join(coded.select("outlet_id", "code"), "outlet_id")
         .join(members.select("member_id", "player_id"), "member_id")
         .repartition("player_id")
-        .groupBy("player_id", *values)
+        .groupBy("player_id", "code")
         .agg(F.sum("spend").alias("spend"))
     )
-    return favorite(spend, "player_id", values, "spend")
+    return favorite_code(spend, "player_id", "code", "spend").join(codes, "code").select("player_id", *values)
 
 
 def property_today(sessions: DataFrame, as_of: dt.date) -> DataFrame:
     """Property of each guest's last session on the as-of day."""
     today = sessions.where(F.col("gaming_date") == F.lit(as_of))
-    last = F.max(F.struct("end_time", "session_id", "property_id"))
-    return today.groupBy("player_id").agg(last["property_id"].alias("property_id"))
+    return latest_value(today, "player_id", "end_time", "session_id", "property_id")
 
 
 def in_house(reservations: DataFrame, as_of: dt.date) -> DataFrame:
@@ -104,9 +128,7 @@ def in_house(reservations: DataFrame, as_of: dt.date) -> DataFrame:
     stays = reservations.where(F.col("reservation_status").isin(*P.STAY_STATUSES)).select(
         "reservation_id", "player_id", "property_id", "arrival_date", "departure_date"
     )
-    return latest_in_interval(
-        stays, "player_id", "arrival_date", "departure_date", as_of, "reservation_id"
-    ).select("player_id", "property_id")
+    return latest_in_interval(stays, "player_id", "arrival_date", "departure_date", as_of, "reservation_id", "property_id")
 
 
 def guest_profile(
@@ -127,8 +149,6 @@ def guest_profile(
     homes, currents = (
         properties.withColumnsRenamed({c: f"{role}_{c}" for c in properties.columns}) for role in ("home", "current")
     )
-    sessions = staged["player_session"]
-    playing = property_today(sessions, as_of).withColumnRenamed("property_id", "playing_property_id")
     stays = in_house(staged["reservation"], as_of).withColumnRenamed("property_id", "staying_property_id").withColumn(
         "staying", F.lit(True)
     )
@@ -136,8 +156,7 @@ def guest_profile(
         staged["player"].drop("created_at")
         .join(members, "player_id", "left")
         .join(guest_snapshot(activity, as_of, policy, opening), "player_id", "left")
-        .join(favorite_game(sessions, as_of, policy), "player_id", "left")
-        .join(playing, "player_id", "left")
+        .join(guest_sessions(staged["player_session"], as_of, policy), "player_id", "left")
         .join(favorite_outlet(staged["check"], staged["member"], staged["outlet"]), "player_id", "left")
         .join(stays, "player_id", "left")
         .join(tiers, "tier_id", "left")

@@ -6,7 +6,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import rows
+from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 from accolade.operators import entity_day as ED
@@ -16,6 +16,7 @@ from accolade.operators import quality as Q
 from accolade.operators import rules as RU
 from accolade.operators import signals as SG
 from accolade.operators import windows as W
+from accolade.plans import catalog
 from accolade.policy import Policy
 from accolade.sources import readers
 
@@ -256,6 +257,60 @@ def test_latest_in_interval(spark):
     assert rows(W.latest_in_interval(stays, "k", "s", "e", AS_OF, "id"), "k", "t") == [(2, "tie, larger id")]
 
 
+def test_packed_orders_against_brute_force(spark):
+    """Negative, NULL and wide weights and ids, days before 1970, timestamps to the microsecond."""
+    rnd = random.Random(4)
+    data = []
+    for i in range(400):
+        day = rnd.choice([None, D(1969, 12, 31), D(1, 1, 1), D(9999, 12, 31), AS_OF, D(1970, 1, 1)])
+        at = None if day is None else dt.datetime(2000, 1, 1, 0, 0, 0, rnd.randrange(3))
+        data.append((i % 40, rnd.choice(["a", "b", "Ä", None, ""]), rnd.choice([None, -(10**17), -1, 0, 7, 10**17]), day, at,
+                     rnd.choice([-(2**63), -5, 0, 2**63 - 1 - i]) + i % 2, i))
+    df = spark.createDataFrame(data, "k long, v string, w long, d date, t timestamp, id long, i long")
+    per_value = {}
+    for k, v, w, *_ in data:
+        per_value.setdefault((k, v), []).append(w)
+    sums = {kv: sum(w for w in ws if w is not None) if any(w is not None for w in ws) else None for kv, ws in per_value.items()}
+    best = {}
+    for (k, v), w in sums.items():
+        best.setdefault(k, []).append(((w is None, -(w or 0)), (v is None, (v or "").encode()), v))
+    weights = df.groupBy("k", "v").agg(F.sum(F.col("w").cast("decimal(20,2)")).alias("w"))
+    liked = W.favorite(weights, "k", ["v"], "w")
+    assert rows(liked, "k", "v") == sorted(((k, min(c)[2]) for k, c in best.items()), key=lambda t: tuple((x is None, str(x)) for x in t))
+    for at, place in (("d", 3), ("t", 4)):
+        newest = {}
+        for r in data:
+            newest.setdefault(r[0], []).append(((r[place] is not None, r[place] or 0), r[5], r[6]))
+        latest = W.latest_value(df, "k", at, "id", "i")
+        top = {k: max(c, key=lambda x: x[:2])[:2] for k, c in newest.items()}
+        assert "SortAggregate" not in plan(latest) and plan(latest).count("HashAggregate") == 2
+        assert all(any(c[:2] == top[r["k"]] and c[2] == r["i"] for c in newest[r["k"]]) for r in latest.collect())
+    assert "SortAggregate" not in plan(liked)
+    with pytest.raises(ValueError, match="packed"):
+        W.favorite(df.select("k", "v", F.col("w").cast("double").alias("w")), "k", ["v"], "w")
+
+
+def test_latest_day_shares_the_window_that_made_the_rows(spark):
+    daily = spark.createDataFrame([(1, D(2000, 1, 1), 2), (1, D(2000, 1, 5), 0), (2, D(2001, 1, 9), 3), (1, D(2002, 1, 1), 9)],
+                                  "player_id long, activity_date date, x int")
+    latest = W.latest_per_key(ED.running_totals(daily, {"life": "x"}), "player_id", "activity_date", D(2001, 12, 31))
+    assert rows(latest, "player_id", "activity_date", "cum_life") == [(1, D(2000, 1, 5), 2), (2, D(2001, 1, 9), 3)]
+    assert plan(latest).count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan(latest)
+
+
+@pytest.mark.parametrize("name", ["favorite_game", "favorite_outlet", "latest_snapshot", "property_today", "in_house", "entity_360"])
+def test_no_sort_aggregates(spark, name):
+    assert "SortAggregate" not in plan(catalog.queries()[name](spark, SMALL))
+
+
+def test_fold_rest_with_null_texts(spark):
+    df = spark.createDataFrame([(1, 3.0, None), (1, 2.0, "b"), (1, 1.0, None), (2, 2.0, "x"), (2, 1.0, None), (3, 1.0, None)],
+                               "k int, score double, name string")
+    folded = W.fold_rest(df, "k", [F.col("score").desc()], "name", "rest")
+    assert "Aggregate" not in plan(folded) and plan(folded).count("Exchange") == 1
+    assert {r["k"]: (r["name"], r["rest"]) for r in folded.collect()} == {1: (None, "b"), 2: ("x", None), 3: (None, None)}
+
+
 def test_fold_rest(spark):
     df = spark.createDataFrame([(1, 9.0, "a"), (1, 5.0, "b"), (1, 7.0, "c"), (2, 1.0, "d")], "k int, score double, name string")
     got = rows(W.fold_rest(df, "k", [F.col("score").desc()], "name", "rest"), "k", "name", "rest")
