@@ -49,7 +49,8 @@ class WordIds(dict):
 
     def __missing__(self, word: str) -> bytes:
         core = word.rstrip(MARKS)
-        if core != word and core.isalpha() and max(core) < "ɐ":
+        # İ is no plain letter here: in lower case it is an i and a mark, which joins the marks after it
+        if core != word and core.isalpha() and max(core) < "ɐ" and "İ" not in core:
             return self[core] + self[word[len(core):]]  # not stored: few words come with the same marks often
         if 2 * len(self) >= WORDS_KEPT:
             self._older = dict(self)

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from accolade.llm import packing, queries, token_files
-from accolade.llm.tokens import WordIds, word_bpe_path
+from accolade.llm.tokens import MARKS, WordIds, word_bpe_path
 
 LIBRARY = Tokenizer.from_file(word_bpe_path())
 WORDS = WordIds(word_bpe_path())
@@ -25,7 +25,15 @@ def plain(text):
     return np.array(ids, "<u4").tobytes()
 
 
-@settings(max_examples=400, deadline=None)
+def test_every_letter_before_every_mark():
+    """Letters whose lower case is not one letter, such as İ, next to each mark, alone and at the end of a word."""
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    bodies = [f"{c}{m} ab{c}{m}{n} {c}b{m}" for c in letters for m, n in zip(MARKS, MARKS[::-1], strict=True)]
+    bodies += ["YENİ, SERİ.", "İ()", "İ.İ, İS, aİ!?"]
+    wanted = LIBRARY.encode_batch(bodies, add_special_tokens=False)
+    assert [t for t, e in zip(bodies, wanted, strict=True) if np.frombuffer(WORDS.encode(t), "<u4").tolist() != e.ids] == []
+
+
 @given(st.text(st.one_of(st.sampled_from(" \n\tabzAZé'.,!<|>endoftextΣİ́ ٣"), st.characters(exclude_categories=["Cs"])), max_size=40))
 def test_word_ids_are_the_library_s(text):
     assert WORDS.encode(text) + np.array([2], "<u4").tobytes() == plain(text)
