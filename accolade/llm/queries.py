@@ -63,7 +63,7 @@ def op9_hilbert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = interleave_shards.interleave(read(spark, sf_dir, "documents"), shards=16)
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("int").alias("slot"),
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

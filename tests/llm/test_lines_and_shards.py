@@ -72,6 +72,7 @@ def brute_shards(docs, shards):
 def test_shard_query_against_plain_python(spark, con):
     got = queries.op10_stratified_interleaving(spark, SMALL)
     assert got.where("law <> 'rows' or grown_shard is not null").count() == 0
+    assert dict(got.dtypes)["slot"] == "bigint"
     rows = [tuple(r) for r in got.select("doc_id", "size", "text_crc32", "shard", "slot").collect()]
     assert sorted(rows) == sorted(brute_shards(texts(con), 16))
 
