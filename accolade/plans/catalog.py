@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from accolade import policy as P
 from accolade.functions import dates as D
 from accolade.functions import recognition as R
+from accolade.operators import asof as AO
 from accolade.operators import entity_day as ED
 from accolade.operators import joins as J
 from accolade.operators import quality as Q
@@ -386,6 +387,27 @@ def worklist_for_property(run: Recognition) -> DataFrame:
     return RE.worklist_for(run.worklist, LISTED_PROPERTY)
 
 
+# --- back-tests -------------------------------------------------------------------------
+
+
+def tier_on_day(run: Recognition) -> DataFrame:
+    """Members enrolled by the as-of day with the tier they had on it."""
+    return G.members_on(run.staged, run.as_of).select("member_id", "tier_id")
+
+
+def strict_360(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The guest 360 of a back-test that sees the tiers and members of its day."""
+    return published(recognition_run(spark, sf_dir, policy=Policy(as_of_date=AS_OF, strict_as_of=True)).guest_360)
+
+
+def check_tier(run: Recognition) -> DataFrame:
+    """Every check with the tier its member had on its business day."""
+    moves = run.staged["tier_history"].where(F.col("member_id").isNotNull())
+    stretches = AO.intervals(moves, "member_id", "change_date", "tier_history_id", "old_tier_id", "new_tier_id", "tier_then")
+    checks = run.staged["check"].select("check_id", "member_id", D.business_day(F.col("closed_at"), run.policy.day_start_hour).alias("day"))
+    return AO.as_of_join(checks, "member_id", "day", stretches, "tier_then")
+
+
 # --- balances ---------------------------------------------------------------------------
 
 #: Ends of months before the as-of day: inside the rules' reach, and older than the 360's look-back.
@@ -517,7 +539,7 @@ def queries() -> dict[str, Query]:
         f.__name__: f
         for f in (scan_sources, select_normalized, live_rows, minimize_columns, rules_catalog, budget_catalog,
                   table_sink_roundtrip, source_freshness, staging_views, clock_day, dq_unique_combination,
-                  opening_balances, continued_totals, recommendations_from_balances, refreshed_milestones)
+                  strict_360, opening_balances, continued_totals, recommendations_from_balances, refreshed_milestones)
     }
     out.update({f"stg_{name}": _staged(name) for name in SOURCE_COLUMNS})
     on_staging = (
@@ -525,6 +547,7 @@ def queries() -> dict[str, Query]:
         status_cascade, capped_reward, render_template, context_text, surrogate_key, inner_equi_join,
         left_outer_join, role_playing_dim, eligibility, topn_per_partition, dq_unique, dq_not_null,
         dq_accepted_values, dq_relationships, dq_one_row_per_key, trailing_window, latest_snapshot,
+        tier_on_day, check_tier,
     )
     out.update({f.__name__: _of_run(f) for f in on_staging})
     out.update({

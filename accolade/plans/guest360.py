@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from accolade import policy as P
 from accolade.functions.dates import age_on
 from accolade.functions.recognition import ineligible_reason, is_eligible
+from accolade.operators.asof import value_on
 from accolade.operators.signals import anomaly_aggregates, sum_when, with_anomaly
 from accolade.operators.windows import best_per_key, favorite_code, latest_in_interval, latest_value, moment_order, value_codes, within_trailing
 from accolade.policy import Policy
@@ -131,6 +132,18 @@ def in_house(reservations: DataFrame, as_of: dt.date) -> DataFrame:
     return latest_in_interval(stays, "player_id", "arrival_date", "departure_date", as_of, "reservation_id", "property_id")
 
 
+def members_on(staged: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame:
+    """The members enrolled by a day, each with the tier of that day.
+
+    A member whose history says nothing keeps the present tier.  Statuses and balances have no
+    landed history and stay as they are now.
+    """
+    enrolled = staged["member"].where(F.col("enroll_date") <= F.lit(as_of))
+    moves = staged["tier_history"].where(F.col("member_id").isNotNull())
+    then = value_on(moves, "member_id", "change_date", "tier_history_id", "old_tier_id", "new_tier_id", as_of, "tier_then")
+    return enrolled.join(then, "member_id", "left").withColumn("tier_id", F.coalesce("tier_then", "tier_id")).drop("tier_then")
+
+
 def guest_profile(
     staged: Mapping[str, DataFrame], activity: DataFrame, as_of: dt.date, policy: Policy, opening: DataFrame | None = None,
 ) -> DataFrame:
@@ -140,7 +153,7 @@ def guest_profile(
     common partitioning; tiers and properties are dimensions and do not disturb it.
     """
     today = F.lit(as_of)
-    members = staged["member"].select(
+    members = (members_on(staged, as_of) if policy.strict_as_of else staged["member"]).select(
         "player_id", "member_id", "member_number", "member_status", "enroll_date", "tier_id", "points_balance",
         "email_opt_in", "sms_opt_in",
     )

@@ -102,6 +102,10 @@ class Policy:
     budget_window_days: int = 30
     default_budget_usd: float = 100.0
     calendar_window_days: int = 45
+
+    # a back-test sees the tiers and the members of its day; by default it sees today's
+    strict_as_of: bool = False
+
     worklist_size: int = 25
 
     # responsible gaming

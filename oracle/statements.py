@@ -258,6 +258,17 @@ CTES: dict[str, str] = {
                sum(CASE WHEN comp_date > {AS_OF} - 30 THEN comp_amount ELSE 0 END) AS comps_window_usd,
                max(comp_date) AS last_comp_date
         FROM q_comp_cards JOIN q_member_cards USING (member_id) WHERE comp_date <= {AS_OF} GROUP BY player_id""",
+    # --- back-tests -----------------------------------------------------------------------
+    "q_move": """
+        SELECT member_id, change_date, old_tier_id, new_tier_id,
+               row_number() OVER (PARTITION BY member_id ORDER BY change_date, tier_history_id) AS nth
+        FROM q_tier_history""",
+    "q_member_then": f"""
+        SELECT m.* REPLACE (coalesce(
+            (SELECT CASE WHEN l.member_id IS NULL THEN f.old_tier_id ELSE l.new_tier_id END
+             FROM q_move f LEFT JOIN q_move l ON l.member_id = f.member_id AND l.change_date <= {AS_OF}
+             WHERE f.member_id = m.member_id AND f.nth = 1 ORDER BY l.nth DESC NULLS LAST LIMIT 1), m.tier_id) AS tier_id)
+        FROM q_member m WHERE enroll_date <= {AS_OF}""",
     # --- balances -------------------------------------------------------------------------
     "q_balance": (
         "SELECT a.player_id, "
@@ -467,6 +478,11 @@ def _pick(spec: str, source: str) -> str:
 
 
 EVENT = "player_id:b event_date:t metric_name:s metric_value:d prior_value:d"
+#: The 360 of a back-test: the same statements over the members of the day.
+CTES |= {
+    f"{name}_then": re.sub(r"\b(q_member|q_age|q_eligibility)\b", r"\1_then", CTES[name]) for name in ("q_age", "q_eligibility", "q_guest")
+}
+
 MEASURE_COLUMNS = " ".join(f"{m}:{'d' if m in MONEY else 'b'}" for m in MEASURES)
 LIFETIME_COLUMNS = "lifetime_theo_win:d lifetime_visit_days:b lifetime_hotel_nights:b lifetime_dining_spend:d"
 STAGED_COLUMNS = {
@@ -743,6 +759,15 @@ def oracle_sql() -> dict[str, str]:
         "recommendations": _pick(REC, "q_rec"),
         "recommendations_from_balances": _pick(REC, "q_rec"),
         "refreshed_milestones": _pick(MILESTONE, "q_milestone"),
+        "strict_360": _pick(GUEST, "q_guest_then"),
+        "tier_on_day": _pick("member_id:b tier_id:b", "q_member_then"),
+        "check_tier": _pick(
+            "check_id:b member_id:b day:t tier_then:b",
+            """(SELECT c.check_id, c.member_id, c.day, CASE WHEN l.member_id IS NULL THEN f.old_tier_id ELSE l.new_tier_id END AS tier_then
+                FROM (SELECT check_id, member_id, CAST(closed_at - INTERVAL 6 HOUR AS DATE) AS day FROM q_check) c
+                LEFT JOIN q_move f ON f.member_id = c.member_id AND f.nth = 1
+                LEFT JOIN q_move l ON l.member_id = c.member_id AND l.change_date <= c.day
+                QUALIFY row_number() OVER (PARTITION BY c.check_id ORDER BY l.nth DESC NULLS LAST) = 1)"""),
         "opening_balances": _pick(
             "player_id:b cum_lifetime_theo_win:d cum_lifetime_visit_days:b cum_lifetime_hotel_nights:b cum_lifetime_dining_spend:d "
             "open_last_day:t open_first_visit:t open_seen_day:t open_run_start:b", "q_balance"),
