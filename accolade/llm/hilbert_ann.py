@@ -25,15 +25,15 @@ curve, whose numbering is the only thing that one task orders.  The rows of a ho
 to k + 1 in ``SALTS`` parts before they meet.
 
 Defined results: vectors that are null, empty, all zero, or hold null or non-finite components
-take no part; vectors are compared with those of the commonest length, others take no part; a
-row is never its own candidate; null ids come last in ties and are never queries; an empty table
-gives an empty result; further columns are not read.
+take no part; vectors of each number of components have curves of their own and are compared among
+themselves; any finite magnitude is ordered rightly, with products beyond double precision's range
+counting as infinite or zero; a row is never its own candidate; null ids come last in ties and are
+never queries; an empty table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -110,37 +110,47 @@ def _entries(marked: DataFrame, k: int) -> DataFrame:
         "mark", "vec", F.col("members.row").alias("rows"), F.col("members.id").alias("ids"), F.col("asking").isNotNull().alias("asks"))
 
 
-def _norm() -> Column:
-    return F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+def _log_norm() -> Column:
+    """Logarithm (base 2) of a vector's length; its largest component is taken out before squaring, so
+    that no finite vector overflows or vanishes."""
+    top = F.array_max(F.transform("vec", lambda x: F.abs(x)))
+    return F.log2(top) + F.log2(F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / top) * (x / top))) / 2
 
 
-def _keyed(entries: DataFrame, spaces: list[tuple[int, float]], width: int) -> DataFrame:
-    """Each vector on the curves of its range as candidate and, if rows with it are queries, on those of all ranges as query.
+def _keyed(entries: DataFrame, spaces: list[tuple[int, int, float]]) -> DataFrame:
+    """Each vector on the curves of its space as candidate and, if rows with it are queries, on those of all spaces of its width as query.
 
-    ``spaces`` has (range, longest); space number i has the curves from ``i * CURVES`` on.
+    ``spaces`` has (width, range, longest); space number i has the curves from ``i * CURVES`` on.  A
+    space's vectors are scaled by 2 ** -range, and ``longest`` is the longest of them then.
     """
-    index = {of: i for i, (of, _) in enumerate(spaces)}
-
     def keys(batches):
         for batch in batches:
-            vectors = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, width)
-            norms = np.linalg.norm(vectors, axis=1)
-            asks = np.flatnonzero(batch.column(4).to_numpy(zero_copy_only=False))
-            own = np.array([index[of] for of in batch.column(5).to_pylist()], int)
-            body = pa.array([v.astype("<f8").tobytes() for v in vectors], pa.binary())
-            for space, (_, longest) in enumerate(spaces):
-                offers = np.flatnonzero(own == space)
-                lift = np.sqrt(np.maximum(longest**2 - norms[offers]**2, 0))
-                scaled = vectors[asks] * (longest / norms[asks])[:, None]
-                for turn in range(CURVES):
-                    for asked, some, key in ((False, offers, curve_keys(vectors[offers], lift, longest, turn)),
-                                             (True, asks, curve_keys(scaled, np.zeros(len(asks)), longest, turn))):
-                        at = pa.array(some)
-                        part = batch.take(at)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(some), space * CURVES + turn), pa.int32()), pa.array(key, pa.int64()),
-                             pa.array(np.full(len(some), asked)), part.column(0), part.column(2), part.column(3), body.take(at)],
-                            names=["curve", "key", "asked", "mark", "rows", "ids", "vec"])
+            sizes = batch.column(1).value_lengths().to_numpy()
+            flat, starts = batch.column(1).flatten().to_numpy(), np.cumsum(sizes) - sizes
+            asking = batch.column(4).to_numpy(zero_copy_only=False)
+            ranges = batch.column(5).to_numpy()
+            for width in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == width)
+                vectors = flat[starts[rows, None] + np.arange(width)]
+                top = np.abs(vectors).max(axis=1, keepdims=True)
+                unit = vectors / top
+                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+                body = pa.array([v.astype("<f8").tobytes() for v in vectors], pa.binary())
+                asks = np.flatnonzero(asking[rows])
+                for space, (wide, of, longest) in enumerate(spaces):
+                    if wide != width:
+                        continue
+                    offers = np.flatnonzero(ranges[rows] == of)
+                    scaled = np.ldexp(vectors[offers], -of)
+                    lift = np.sqrt(np.maximum(longest**2 - np.square(scaled).sum(axis=1), 0))
+                    for turn in range(CURVES):
+                        for asked, some, key in ((False, offers, curve_keys(scaled, lift, longest, turn)),
+                                                 (True, asks, curve_keys(unit[asks] * longest, np.zeros(len(asks)), longest, turn))):
+                            part = batch.take(pa.array(rows[some]))
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(some), space * CURVES + turn), pa.int32()), pa.array(key, pa.int64()),
+                                 pa.array(np.full(len(some), asked)), part.column(0), part.column(2), part.column(3), body.take(pa.array(some))],
+                                names=["curve", "key", "asked", "mark", "rows", "ids", "vec"])
 
     return entries.mapInArrow(keys, "curve int, key long, asked boolean, mark binary, rows array<long>, ids array<long>, vec binary")
 
@@ -201,17 +211,12 @@ def nearest(
     bounded_batches(spark)
     marked = cut(_marked(numbered(rows, key, vector).where(F.exists("vec", lambda x: x != 0)), every_nth), "hilbert_rows")
     entries = cut(_entries(marked, k), "hilbert_entries")
-    of_length = F.round(F.log2("norm")).cast("int")  # round: vectors of length 1 are in one range
-    ranged = entries.withColumn("norm", _norm()).withColumn("range", of_length)
+    ranged = entries.withColumn("log", _log_norm()).withColumn("range", F.round("log").cast("int"))  # round: vectors of length 1 are in one range
     sizes = ranged.groupBy(F.size("vec").alias("width"), "range").agg(
-        F.sum(F.size("rows")).alias("of"), F.count(F.lit(1)).alias("n"), F.max("norm").alias("longest")).collect()
-    widths = Counter()
-    for r in sizes:
-        widths[r["width"]] += r["of"]
-    width = min(widths, key=lambda w: (-widths[w], w), default=1)
-    here = sorted((r["range"], r["longest"], r["n"]) for r in sizes if r["width"] == width)
+        F.count(F.lit(1)).alias("n"), F.max(F.pow(F.lit(2.0), F.col("log") - F.col("range"))).alias("longest")).collect()
+    here = sorted((r["width"], r["range"], r["longest"], r["n"]) for r in sizes)
     most = [min(MOST_IN_BLOCK, max(1, -(-n // LEAST_BLOCKS))) for *_, n in here]
-    keyed = _keyed(ranged.drop("norm").where(F.size("vec") == width), [(of, longest) for of, longest, _ in here], width)
+    keyed = _keyed(ranged.drop("log"), [(width, of, longest) for width, of, longest, _ in here])
     sorted_rows = keyed.repartitionByRange(shuffle_partitions(spark), "curve", "key", "mark").sortWithinPartitions("curve", "key", "mark")
     packed = sorted_rows.select("curve", "asked", "mark", "rows", "ids", "vec").mapInArrow(_blocks(most), _PACKED)
     blocks = cut(packed, "hilbert_blocks")

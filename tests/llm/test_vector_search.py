@@ -124,7 +124,7 @@ def test_curve_recall_with_one_very_long_vector(spark):
 
 
 def test_curve_edges(spark):
-    rows = [r for r in edge_rows() if not r[1] or len(r[1]) != 2]
+    rows = edge_rows()
     usable = [r for r in rows if r[1] and any(r[1])]
     got = hilbert_ann.nearest(spark.createDataFrame(rows, SCHEMA), k=7, window_share=2.0).collect()
     exact = brute(usable, 7, lambda a, b: float(np.float32(a).astype(float) @ np.float32(b).astype(float)))
@@ -132,6 +132,19 @@ def test_curve_edges(spark):
     assert hilbert_ann.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_every_length_and_magnitude(spark):
+    """Several numbers of components in one table, and lengths from 1e-200 to 1e200."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(3 + i % 2).tolist()) for i in range(120)] + [(200 + i, [float(i), 1.0]) for i in range(5)]
+    rows += [(300 + 20 * i, (rng.standard_normal(3) * 10.0**e).tolist()) for i, e in enumerate((-200, -100, 100, 150))]
+    rows += [(400, [1e-200, 0.0, 0.0]), (420, [1e200, 0.0, 0.0]), (440, [0.0, -1e-300, 0.0]), (460, [3e-320, 0.0, 0.0]), (480, [1e-200, 5.0])]
+    got = hilbert_ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=6, window_share=2.0).collect()
+    with np.errstate(over="ignore", under="ignore"):
+        exact = brute(rows, 6, lambda a, b: float(np.array(a) @ np.array(b)))
+    assert sorted(((q, r, c) for q, r, c, _ in map(tuple, got)), key=str) == sorted(((q, r, c) for q, r, c, _ in exact), key=str)
+    assert {q for q, *_ in exact} == {i for i, v in rows if i % 20 == 0}
+
+
 @pytest.mark.parametrize("width,bits", [(1, 5), (2, 4), (3, 3), (4, 2)])
 def test_hilbert_curve_visits_neighbours(width, bits):
     cells = np.array(np.meshgrid(*[range(1 << bits)] * width)).reshape(width, -1).T
