@@ -37,7 +37,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -110,11 +110,13 @@ def _entries(marked: DataFrame, k: int) -> DataFrame:
         "mark", "vec", F.col("members.row").alias("rows"), F.col("members.id").alias("ids"), F.col("asking").isNotNull().alias("asks"))
 
 
-def _log_norm() -> Column:
-    """Logarithm (base 2) of a vector's length; its largest component is taken out before squaring, so
-    that no finite vector overflows or vanishes."""
-    top = F.array_max(F.transform("vec", lambda x: F.abs(x)))
-    return F.log2(top) + F.log2(F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / top) * (x / top))) / 2
+def _log_norm(entries: DataFrame) -> DataFrame:
+    """Add the logarithm (base 2) of a vector's length; its largest component is taken out before
+    squaring, so that no finite vector overflows or vanishes.  That component is a column of its own,
+    so it is found once for a vector."""
+    squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + F.pow(x / F.col("top"), F.lit(2.0)))
+    topped = entries.withColumn("top", F.array_max(F.transform("vec", lambda x: F.abs(x))))
+    return topped.withColumn("log", F.log2("top") + F.log2(squares) / 2).drop("top")
 
 
 def _keyed(entries: DataFrame, spaces: list[tuple[int, int, float]]) -> DataFrame:
@@ -211,7 +213,7 @@ def nearest(
     bounded_batches(spark)
     marked = cut(_marked(numbered(rows, key, vector).where(F.exists("vec", lambda x: x != 0)), every_nth), "hilbert_rows")
     entries = cut(_entries(marked, k), "hilbert_entries")
-    ranged = entries.withColumn("log", _log_norm()).withColumn("range", F.round("log").cast("int"))  # round: vectors of length 1 are in one range
+    ranged = _log_norm(entries).withColumn("range", F.round("log").cast("int"))  # round: vectors of length 1 are in one range
     sizes = ranged.groupBy(F.size("vec").alias("width"), "range").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.pow(F.lit(2.0), F.col("log") - F.col("range"))).alias("longest")).collect()
     here = sorted((r["width"], r["range"], r["longest"], r["n"]) for r in sizes)
