@@ -11,15 +11,18 @@ differ with probability (1 - 0.75 ** 3) ** 28, about 2e-7.
 2. A bucket is a band value that several nodes share.  Each node is compared with the smallest
    node of each of its buckets: full sets meet by joins, and 100 * intersection >= 75 * union
    links them.  Linked nodes form components.
-3. Two members of a bucket in different components may still be linked.  In rounds, ``PIVOTS``
-   or more members of a bucket outside its first component are compared with all members of
-   other components; then they have met everyone and leave the bucket.  The rounds end when
-   no bucket holds two components, so every pair that shares a bucket has been compared or is
-   connected.
-
-Work is linear in the members of a bucket each round, and no bucket is ever gathered: leaders
-and pivots are found by aggregates and joined back, which lets Spark split hot buckets.  Sets of
-texts in a shared bucket are the only ones kept.
+3. Two members of a bucket in different components may still be linked.  Members outside the
+   largest component of their bucket are compared with all its members: both sides are cut into
+   blocks of at most about ``BLOCK_ROWS`` sets and ``BLOCK_SHINGLES`` shingles, and a task compares one
+   block with another.  There, shingles that meet in no second component are dropped, and so are
+   sets with too few others, until none falls out; one matrix product counts the intersections
+   of those left.  The task returns which components are linked, never pairs of documents.
+   Buckets with the same members are compared once.  Every pair that shares a bucket has then
+   been compared or is connected.
+
+Leaders and blocks are found by aggregates and joined back, so no bucket is ever gathered and
+Spark can split hot ones; a link never costs a row of a join.  Sets of texts in a shared bucket
+are the only ones kept.
 
 Defined results: null, empty and blank texts have no shingles and are alone; a component is
 named by its smallest non-null id; rows that share an id stand or fall together; an empty table
@@ -32,16 +35,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from accolade.llm.common import bounded_batches, over_batches
 from accolade.llm.components import components
 from accolade.sources.sinks import cut
 
-WORDS, PERMUTATIONS, ROWS, PIVOTS = 5, 42, 3, 16
+WORDS, PERMUTATIONS, ROWS = 5, 42, 3
 SHARE = 75  # percent
 WORDS_KEPT = 500_000
 CHUNK = 1 << 14
+#: Expected size of a block: a product of two has BLOCK_ROWS ** 2 counts.  Entries of a part of its factors.
+BLOCK_ROWS, BLOCK_SHINGLES, ENTRIES = 2_048, 1 << 20, 1 << 22
 SEED = 77
 
 
@@ -184,7 +188,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     shared = spread.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = cut(shared.select(F.col("bucket").alias("at"), "leader"), "shared")  # a join side of its own: hot buckets are split
     members = cut(spread.join(shared, F.col("bucket") == F.col("at")).select("bucket", "node", "n", "leader"), "members")
-    allowed = members.count() // 8
     wanted = nodes.select(F.col("node").alias("own"), "body").join(members.select("node").distinct(), F.col("own") == F.col("node")).select("node", "body")
     sets = cut(_sets(docs, wanted, text), "sets")
 
@@ -193,17 +196,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     first = first.join(sizes, F.col("leader") == F.col("lead")).where(_may_link("n", "lead_n", share))
     links = cut(_links(first.select(F.col("node").alias("u"), F.col("leader").alias("v")), sets, share), "near_links")
     labels = components(links)
-    left = members.select("bucket", "node", "n")
-    while True:
-        found = _residual_pairs(left, labels, share, allowed)
-        if found is None:
-            break
-        pairs, left, nodes_left = found
-        # from here on only the sets of mixed buckets travel, fewer in each round
-        sets = cut(sets.join(nodes_left, F.col("node") == F.col("of"), "left_semi"), "sets_left")
-        more = cut(_links(pairs, sets, share), "near_links")
-        if not more.isEmpty():
-            labels = components(labels.unionByName(more))
+    more = cut(_links_between_components(members.select("bucket", "node", "n"), labels, sets, share), "root_links")
+    if not more.isEmpty():
+        labels = components(labels.unionByName(more))
 
     named = nodes.select("node", "least_doc").join(labels.select(F.col("u").alias("of"), "v"), F.col("node") == F.col("of"), "left")
     named = named.select("node", "least_doc", F.coalesce("v", "node").alias("root"))
@@ -217,31 +212,97 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     )
 
 
-def _residual_pairs(left: DataFrame, labels: DataFrame, share: int, allowed: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
-    """Pairs of this round, what stays in the buckets after it, and the nodes of both; None when no bucket is mixed.
-
-    A round makes ``PIVOTS`` pairs a member, or ``allowed`` pairs in all if that is more, so the last
-    mixed buckets do not take a round for every few members.
-    """
-    named = left.join(labels.select(F.col("u").alias("of"), "v"), F.col("node") == F.col("of"), "left")
-    named = named.select("bucket", "node", "n", F.coalesce("v", "node").alias("root"))
-    mixed = named.groupBy("bucket").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one != other")
-    mixed = cut(mixed.select(F.col("bucket").alias("at"), "one"), "mixed_buckets")
-    rest = cut(named.join(mixed, F.col("bucket") == F.col("at")).drop("at"), "mixed")
-    rows = rest.count()
-    if not rows:
-        return None
-    most = max(PIVOTS, allowed // rows)
-    order = Window.partitionBy("bucket").orderBy("node")
-    pivots = rest.where(F.col("root") != F.col("one")).withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= most)
-    pivots = cut(pivots.select(
-        F.col("bucket").alias("at"), F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("root").alias("pivot_root")), "pivots")
-    met = rest.join(pivots, F.col("bucket") == F.col("at"))
-    met = met.where((F.col("root") != F.col("pivot_root")) & _may_link("n", "pivot_n", share))
-    pairs = met.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct()
-    done = [F.col("bucket") == F.col("at"), F.col("node") == F.col("pivot")]
-    rest_nodes = rest.select(F.col("node").alias("of")).distinct()
-    return cut(pairs, "pairs"), rest.join(pivots, done, "left_anti").select("bucket", "node", "n"), rest_nodes
+def _joined_roots(table: pa.Table, left: np.ndarray, right: np.ndarray, share: int) -> list[tuple[bytes, bytes]]:
+    """Links that join the roots of a block's left and right rows, no more than needed for their components."""
+    sets = [np.frombuffer(own, np.uint64) for own in table.column("own").to_pylist()]
+    n = np.array([len(s) for s in sets], np.int64)
+    names, root = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)
+    rows = np.arange(len(sets))
+    while True:  # sets that cannot reach the share even if all their common shingles meet in one other set
+        owner = np.repeat(rows, n[rows])
+        columns, column = np.unique(np.concatenate([np.empty(0, np.uint64), *[sets[i] for i in rows]]), return_inverse=True)
+        least, most = np.full(len(columns), len(names)), np.full(len(columns), -1)
+        np.minimum.at(least, column, root[owner])
+        np.maximum.at(most, column, root[owner])
+        common = (least != most)[column]
+        enough = 100 * np.bincount(owner[common], minlength=len(sets))[rows] >= share * n[rows]
+        if enough.all():
+            break
+        rows = rows[enough]
+    lefts, rights = rows[left[rows]], rows[right[rows]]
+    if not len(lefts) or not len(rights):
+        return []
+    owner, column = owner[common], np.unique(column[common], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    place = np.zeros(len(sets), np.int64)
+    place[rows] = np.arange(len(rows))
+    both = np.zeros((len(lefts), len(rights)), np.int64)
+    width = max(1, ENTRIES // len(rows))
+    for at in range(0, int(column[-1]) + 1, width):
+        start, end = np.searchsorted(column, [at, at + width])
+        part = np.zeros((len(rows), width), np.float32)
+        part[place[owner[start:end]], column[start:end] - at] = 1
+        both += (part[place[lefts]] @ part[place[rights]].T).astype(np.int64)
+    linked = 100 * both >= share * (n[lefts][:, None] + n[rights][None, :] - both)
+    u, v = np.nonzero(linked & (root[lefts][:, None] != root[rights][None, :]))
+    one = list(range(len(names)))
+
+    def find(i):
+        while one[i] != i:
+            one[i] = i = one[one[i]]
+        return i
+
+    out = []
+    for pair in np.unique(root[lefts[u]] * len(names) + root[rights[v]]).tolist():
+        a, b = divmod(pair, len(names))
+        if find(a) != find(b):
+            one[find(a)] = find(b)
+            out.append((names[a], names[b]))
+    return out
+
+
+def _links_between_components(members: DataFrame, labels: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """Links (u, v) between the smallest nodes of components that hold linked members of one bucket."""
+    named = members.join(labels.select(F.col("u").alias("of"), "v"), F.col("node") == F.col("of"), "left")
+    named = cut(named.select("bucket", "node", "n", F.coalesce("v", "node").alias("root")), "named")
+    parts = named.groupBy("bucket", "root").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
+    largest = F.max(F.struct("rows", "n", "root"))
+    buckets = parts.groupBy("bucket").agg(
+        largest.alias("one"), F.count(F.lit(1)).alias("roots"), F.sum("rows").alias("rows"), F.sum("n").alias("n"),
+        F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")).where("roots > 1")
+
+    def blocks(rows, n):
+        return F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+
+    # the rest of a row follows from the members of its bucket, so buckets with the same ones are one
+    same = buckets.groupBy("rows", "x", "y").agg(F.min("bucket").alias("at"), F.max("one").alias("one"), F.max("n").alias("all_n"))
+    same = cut(same.select(
+        "at", F.col("one.root").alias("one"), blocks(F.col("rows") - F.col("one.rows"), F.col("all_n") - F.col("one.n")).alias("lefts"),
+        blocks(F.col("rows"), F.col("all_n")).alias("rights")), "mixed_buckets")
+
+    other = F.col("root") != F.col("one")
+    dealt = named.join(same, F.col("bucket") == F.col("at")).select(
+        "bucket", "node", "root", "lefts", "rights",
+        F.when(other, F.pmod(F.xxhash64(F.lit(2), "node"), "lefts")).cast("int").alias("own_left"),
+        F.pmod(F.xxhash64(F.lit(3), "node"), "rights").cast("int").alias("own_right"))
+    as_right = F.expr("transform(sequence(0, lefts - 1), i -> struct(i AS i, own_right AS j))")
+    as_left = F.expr("transform(sequence(0, rights - 1), j -> struct(own_left AS i, j AS j))")
+    cell = F.when(F.col("own_left").isNull(), as_right).otherwise(F.array_union(as_right, as_left))
+    dealt = dealt.select("bucket", "node", "root", "own_left", "own_right", F.explode(cell).alias("cell"))
+    dealt = dealt.select(
+        "bucket", "cell.i", "cell.j", F.col("node").alias("of"), "root",
+        F.coalesce(F.col("own_left") == F.col("cell.i"), F.lit(False)).alias("left"), (F.col("own_right") == F.col("cell.j")).alias("right"))
+    full = dealt.join(sets, F.col("of") == F.col("node")).select("bucket", "i", "j", "root", "left", "right", "own")
+
+    def compare(table: pa.Table) -> pa.Table:
+        left, right = (table.column(c).to_numpy() for c in ("left", "right"))
+        links = _joined_roots(table, left, right, share)
+        return pa.table({"u": pa.array([a for a, _ in links], pa.binary()), "v": pa.array([b for _, b in links], pa.binary())})
+
+    return full.groupBy("bucket", "i", "j").applyInArrow(compare, "u binary, v binary").distinct()
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 
 import compare as harness
 import numpy as np
+import pytest
 from conftest import SMALL
 from edge import EDGE, edge_docs, empty_docs
 from hypothesis import given, settings
@@ -77,9 +78,11 @@ def edited(r, words, n):
     return " ".join(words)
 
 
-def test_chains_and_templates(spark, monkeypatch):
+@pytest.mark.parametrize("block_rows, entries", [(minmax_dedup.BLOCK_ROWS, minmax_dedup.ENTRIES), (3, 64)])
+def test_chains_and_templates(spark, monkeypatch, block_rows, entries):
     """Links that no bucket leader shows: pairs inside a family whose other members are too far."""
-    monkeypatch.setattr(minmax_dedup, "PIVOTS", 2)
+    monkeypatch.setattr(minmax_dedup, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(minmax_dedup, "ENTRIES", entries)
     r, rows = random.Random(4), []
     for _ in range(6):
         base = [f"w{r.randrange(10**6)}" for _ in range(150)]
