@@ -310,10 +310,21 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", share: in
 
     Rows are told apart by id and digest of the text, so a row falls only for its own component,
     whatever other rows share its id, and null ids are no group.  The smallest id stays, of equal
-    ids the smallest digest; rows equal in both stand together.
+    ids the smallest digest, of rows equal in both the one whose columns sort first (maps are
+    left out of that order).  Rows without shingles all stay.
     """
     mark = F.unhex(F.md5(F.col(text).cast("binary")))
     own = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), mark.alias("mark"))
-    found = near_duplicates(docs.select(own.alias("own"), F.col(text).alias("text")), "own", "text", share).where(~F.col("kept"))
-    gone = found.select(F.col("own.id").alias("gone_"), F.col("own.mark").alias("gone_mark_")).distinct()
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("gone_")) & (mark == F.col("gone_mark_")), "left_anti")
+    found = near_duplicates(docs.select(own.alias("own"), F.col(text).alias("text")), "own", "text", share).where("n_shingles > 0")
+    fate = found.groupBy(F.col("own.id").alias("id_"), F.col("own.mark").alias("mark_")).agg(
+        F.bool_and("kept").alias("kept_"), (F.count(F.lit(1)) > 1).alias("repeated_")).where("not kept_ or repeated_")
+    fate = cut(fate, "fate")
+    same = F.col(key).eqNullSafe(F.col("id_")) & (mark == F.col("mark_"))
+    alone = docs.join(fate, same, "left_anti")
+    repeated = fate.where("kept_")
+    if repeated.isEmpty():
+        return alone
+    ordered = F.struct(*[F.col(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"])
+    rows = docs.select(F.struct("*").alias("row"), ordered.alias("order"), F.col(key).alias("key"), mark.alias("mark"))
+    met = rows.join(repeated, F.col("key").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")))
+    return alone.unionByName(met.groupBy("id_", "mark_").agg(F.min_by("row", "order").alias("row")).select("row.*"))

@@ -101,4 +101,4 @@ def test_toxicity_edges(spark, labels):
 
 
 def test_query_names():
-    assert {int(n[2:].split("_")[0]) for n in queries.queries() if n != "pipeline"} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.queries() if n != "pipeline"} == set(range(1, 14))

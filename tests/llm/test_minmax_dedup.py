@@ -106,7 +106,19 @@ def test_edges(spark):
     assert minmax_dedup.near_duplicates(empty_docs(spark)).count() == 0
     kept = minmax_dedup.keep_one(edge_docs(spark))
     assert kept.columns == edge_docs(spark).columns
-    assert sorted((x["doc_id"] for x in kept.collect()), key=str) == sorted([1, 1, 1, 3, 4, 5, 7, 8, None, None], key=str)
+    assert sorted((x["doc_id"] for x in kept.collect()), key=str) == sorted([1, 1, 3, 4, 5, 7, 8, None, None], key=str)
+
+
+def test_rows_equal_in_id_and_text_leave_one(spark):
+    text = "five words and one more"
+    rows = [(1, text, "b", {"x": 1}), (1, text, "a", {"x": 2}), (1, text, "a", {"x": 2}), (2, text, "a", None),
+            (None, "no id but seven words of text", "a", None), (None, "no id but seven words of text", "a", None),
+            (3, None, "a", None), (3, None, "a", None), (4, "", "a", None), (4, "", "a", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string, id_ map<string,int>")
+    kept = minmax_dedup.keep_one(df.withColumnRenamed("id_", "order"))
+    assert kept.columns == ["doc_id", "text", "row", "order"]
+    assert sorted(((r[0], r[1], r[2]) for r in kept.collect()), key=str) == sorted(
+        [(1, text, "a"), (None, rows[4][1], "a"), (3, None, "a"), (3, None, "a"), (4, "", "a"), (4, "", "a")], key=str)
 
 
 def test_every_group_keeps_a_row_where_ids_repeat_or_are_null(spark):
