@@ -12,7 +12,10 @@ Three machines are compiled from a model file and composed with each text:
 * byte fallback: a letter without a piece passes through one arc for each of its UTF-8 bytes.
 
 The shortest path in the tropical semiring (sums along a path, the smallest path wins) is found
-by one pass over a text's letters that holds the best way to each place.  Decoding runs the
+by one pass over a text's letters that holds the best way to each place.  Where arcs weigh 0 or
+nothing, no path is shorter than 0, so a depth-first search over the same composition, longest
+pieces first, ends with the first path it completes; at most one way of weight 0 leads to a
+place, so a place without a way on is never entered twice.  Decoding runs the
 machine backwards: pieces to letters, runs of byte pieces to UTF-8, marks to spaces.
 
 No piece of such a vocabulary has a word mark behind a letter, so paths of the words are
@@ -44,7 +47,7 @@ UNIGRAM, BPE = 1, 2
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 #: Words kept with their paths in a worker process, in two halves; longer words are not kept.  Arcs
 #: kept with their weights.
-WORDS_KEPT, LONGEST_KEPT, ARCS_KEPT = 400_000, 40, 400_000
+WORDS_KEPT, LONGEST_KEPT, ARCS_KEPT = 600_000, 40, 400_000
 MARKS = ".,;:!?"
 
 
@@ -105,12 +108,16 @@ class Transducer:
         self._byte_of = {i: b for b, i in self._bytes.items()}
         self._merge_weights = {p: self._weights[i] for p, i in self._ids.items()}
         self._heads = {p[:n] for p in self._ids for n in range(1, len(p))}  # what a longer piece may begin with
+        # states of the piece machine: twice the piece's number + 1 (0: none), and 1 more where it goes on
+        self._states = {s: 2 * (self._ids.get(s, -1) + 1) + (s in self._heads) for s in self._heads.union(self._ids)}
         divided = not any(MARK in p.lstrip(MARK) or "\n" in p for p in self._ids)
         self._words = re.compile(rf"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+" if divided else r"(?s).+").findall
         self._arcs: dict[int, bool] = {}
         self._newer: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._letters = [p.replace(MARK, " ") for p in self.pieces]
+        self._is_byte = np.zeros(len(self.pieces), bool)
+        self._is_byte[list(self._byte_of)] = True
 
     def _merged(self, text: str) -> list[str]:
         """What the merges make of a text, best score first, the leftmost of equals."""
@@ -127,9 +134,7 @@ class Transducer:
         return own
 
     def _follows(self, before: int, piece: int) -> bool:
-        """Whether the arc from one piece to another has a weight; -1 is the start or a byte."""
-        if not self._merges:
-            return True
+        """Whether the merges leave two neighbouring pieces apart; -1 is the start or a byte."""
         arc = before << 32 | piece
         known = self._arcs.get(arc)
         if known is None:
@@ -139,9 +144,52 @@ class Transducer:
             known = self._arcs[arc] = self._merged("".join(pair)) == pair
         return known
 
+    def _choices(self, text: str, start: int) -> list[tuple[int, int]]:
+        """(piece, end) of the arcs that leave a place, longest last; piece -1 goes through the bytes of a letter."""
+        states, out = self._states, []
+        for end in range(start + 1, len(text) + 1):
+            state = states.get(text[start:end], 0)
+            if state > 1:
+                out.append(((state >> 1) - 1, end))
+            elif end == start + 1:
+                out.append((-1, end))
+            if not state & 1:
+                break
+        return out
+
+    def _free_path(self, text: str) -> list[int]:
+        """Ids along the path of weight 0, for arcs that weigh 0 or nothing."""
+        n, arcs = len(text), self._arcs
+        closed, start, before, way = bytearray(n + 1), 0, -1, []
+        choices = self._choices(text, 0) if n else []
+        while start < n:
+            while choices:
+                piece, end = choices.pop()
+                if closed[end]:
+                    continue
+                if piece >= 0:
+                    known = arcs.get(before << 32 | piece)
+                    if not (self._follows(before, piece) if known is None else known):
+                        continue
+                way.append((before, start, choices, piece))
+                start, before = end, piece
+                choices = self._choices(text, end) if end < n else []
+                break
+            else:
+                closed[start] = 1
+                if not way:
+                    raise ValueError("the pieces leave no path through a text")
+                before, start, choices, _ = way.pop()
+        out = []
+        for i, (_, at, _, piece) in enumerate(way):
+            out += [piece] if piece >= 0 else [self._bytes[b] for b in text[at:way[i + 1][1] if i + 1 < len(way) else n].encode()]
+        return out
+
     def path(self, text: str) -> list[int]:
         """Ids along the shortest path of a normalised text."""
-        n, ids, heads, merges = len(text), self._ids, self._heads, self._merges
+        if self._merges:
+            return self._free_path(text)
+        n, ids, heads = len(text), self._ids, self._heads
         weights, pieces, origins = [0.0] + [math.inf] * n, [-1] * (n + 1), [0] * (n + 1)
         for start in range(n):
             so_far = weights[start]
@@ -151,8 +199,8 @@ class Transducer:
                 own = text[start:end]
                 piece = ids.get(own)
                 if piece is not None:
-                    weight = so_far if merges else so_far + self._weights[piece]
-                    if weight < weights[end] and self._follows(pieces[start], piece):
+                    weight = so_far + self._weights[piece]
+                    if weight < weights[end]:
                         weights[end], pieces[end], origins[end] = weight, piece, start
                 elif end == start + 1 and weights[end] == math.inf:  # a letter without a piece: through its bytes
                     weights[end], pieces[end], origins[end] = so_far, -1, start
@@ -170,12 +218,14 @@ class Transducer:
         if found is None:
             core = word.rstrip(MARKS)
             if core != word and len(core) > 1:
-                head, tail = self._newer.get(core) or self._word(core), self._word(word[len(core):])
+                marks = word[len(core):]
+                head, tail = self._newer.get(core) or self._word(core), self._newer.get(marks) or self._word(marks)
                 # two shortest paths join into one if the arc between them has its weight
-                last, first = (int(np.frombuffer(x, "<i4")[i]) for x, i in ((head, -1), (tail, 0)))
+                last, first = int.from_bytes(head[-4:], "little"), int.from_bytes(tail[:4], "little")
                 if self._merges and last not in self._byte_of and first not in self._byte_of and self._follows(last, first):
-                    return head + tail
-            found = np.array(self.path(word), "<i4").tobytes()
+                    found = head + tail
+            if found is None:
+                found = np.array(self.path(word), "<i4").tobytes()
         if len(word) <= LONGEST_KEPT:
             if 2 * len(self._newer) >= WORDS_KEPT:
                 self._older, self._newer = self._newer, {}
@@ -188,28 +238,29 @@ class Transducer:
     def encode(self, text: str | None) -> np.ndarray:
         known, out = self._newer.get, []
         for word in self._words(self.normalise(text or "")):
-            out.append(known(word) or self._word(word))
-            known = self._newer.get
+            found = known(word)
+            if found is None:
+                found = self._word(word)
+                known = self._newer.get  # the store may have been renewed
+            out.append(found)
         return np.frombuffer(b"".join(out), "<i4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement letters."""
-        letters, byte_of, out, held = self._letters, self._byte_of, [], bytearray()
+        letters, byte_of, out, at = self._letters, self._byte_of, [], 0
         if not len(ids):
             return ""
-        for i in ids.tolist():
-            if i in byte_of:
-                held.append(byte_of[i])
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held = bytearray()
-            out.append(letters[i])
-        text = "".join(out) + held.decode("utf-8", "replace")
+        listed, places = ids.tolist(), np.flatnonzero(self._is_byte[ids])
+        for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1) if len(places) else ():
+            start, end = int(run[0]), int(run[-1]) + 1
+            out += [letters[i] for i in listed[at:start]]
+            out.append(bytes([byte_of[i] for i in listed[start:end]]).decode("utf-8", "replace"))
+            at = end
+        text = "".join(out + [letters[i] for i in listed[at:]])
         return text[1:] if self._prefix and text.startswith(" ") else text
 
     def fallback(self, ids: np.ndarray) -> int:
-        return int(np.isin(ids, list(self._byte_of)).sum())
+        return int(self._is_byte[ids].sum())
 
 
 def transducer(path: str) -> Transducer:
