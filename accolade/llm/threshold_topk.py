@@ -13,7 +13,8 @@ hash of the row's number, so equal ids or equal vectors spread evenly.
 Defined results: vectors that are null, empty, or hold null or non-finite components take no
 part; a vector meets candidates of its own length; a row is never its own candidate, but other
 rows with its id are; null ids come last in ties and are never queries; an empty table gives an
-empty result; further columns are not read.
+empty result; further columns are not read.  Products of any size are compared exactly; a
+component or a best score of 2 ** 63 or more in magnitude is an error.
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accolade.llm.vectors import NO_ID, best, first_k, is_query, numbered
+from accolade.sources.sinks import cut
 
 BLOCK, PACK = 4096, 1024
 #: Depths of the rounds grow by this factor from this start.
 FIRST_DEPTH, DEEPER = 8, 8
-#: Products up to here are exact in double precision.
-EXACT = 2**53
+#: Products up to here are exact in double precision, up to there in 64-bit integers; beyond, Python's integers count.
+EXACT, LONG = 2**53, 2**63
 
 
 class SortedLists:
@@ -76,7 +78,7 @@ def search_block(table: pa.Table, k: int) -> pa.Table:
     ids = table["id"].fill_null(NO_ID).to_numpy()
     flat = table["vec"].combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
     reach = int(np.abs(flat).max(initial=0)) ** 2 * flat.shape[1]
-    flat = flat.astype(np.float64) if reach < EXACT else flat
+    flat = flat.astype(np.float64) if reach < EXACT else flat if reach < LONG else flat.astype(object)
     own = np.flatnonzero(~asked)
     out: dict[str, list] = {"q_row": [], "query_id": [], "vec_id": [], "score": []}
     if len(own):
@@ -87,7 +89,8 @@ def search_block(table: pa.Table, k: int) -> pa.Table:
             out["q_row"] += [int(rows[q])] * len(at)
             out["query_id"] += [int(ids[q])] * len(at)
             out["vec_id"] += lists.ids[at].tolist()
-            out["score"] += scores.astype(np.int64).tolist()
+            # a block's loser may lie below all 64-bit integers; in the result it is an error
+            out["score"] += (np.maximum(scores, -LONG) if scores.dtype == object else scores).astype(np.int64).tolist()
     vec = pa.array([None if i == NO_ID else i for i in out["vec_id"]], pa.int64())
     return pa.table({"q_row": pa.array(out["q_row"], pa.int64()), "query_id": pa.array(out["query_id"], pa.int64()),
                      "vec_id": vec, "score": pa.array(out["score"], pa.int64())})
@@ -98,9 +101,14 @@ def top_k(
     block: int = BLOCK, pack: int = PACK,
 ) -> DataFrame:
     """The k best candidates of every row whose id ``every_nth`` divides."""
-    usable = numbered(rows, key, vector)
-    whole = usable.withColumn("vec", F.transform("vec", lambda x: F.floor(x.cast("double") * scale).cast("long")))
-    n, asked = usable.agg(F.count(F.lit(1)), F.coalesce(F.sum(is_query(every_nth).cast("long")), F.lit(0))).first()
+
+    def component(x):
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < float(LONG), F.floor(scaled)).otherwise(F.raise_error(F.lit("a component beyond 64-bit integers")))
+
+    # written once: two scans of other inputs than files might number their rows differently
+    whole = cut(numbered(rows, key, vector).withColumn("vec", F.transform("vec", component)), "topk_rows")
+    n, asked = whole.agg(F.count(F.lit(1)), F.coalesce(F.sum(is_query(every_nth).cast("long")), F.lit(0))).first()
     blocks, packs = -(-n // block) or 1, -(-asked // pack) or 1
     spread = F.xxhash64("row")
     every_pack = F.explode(F.sequence(F.lit(0), F.lit(packs - 1)))
@@ -113,4 +121,5 @@ def top_k(
         return search_block(table, k)
 
     found = dealt.groupBy("block", "pack", "width").applyInArrow(search, "q_row long, query_id long, vec_id long, score long")
-    return first_k(found, k, "score")
+    score = F.when(F.col("score") > -LONG, F.col("score")).otherwise(F.raise_error(F.lit("a score beyond 64-bit integers")))
+    return first_k(found, k, "score").withColumn("score", score)

@@ -57,6 +57,17 @@ def test_topk_edges(spark, block, pack):
     assert threshold_topk.top_k(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_topk_large_components(spark):
+    """Scores past 2 ** 53 and losing ones past 2 ** 63 are exact; what no long holds is an error."""
+    rows = [(i, [2.0**25 + i, -float(i)]) for i in range(30)] + [(20, [1.0, -0.5]), (31, [2.0**57 - 8, 0.0]), (33, [-(2.0**56), 3.0])]
+    top = threshold_topk.top_k(spark.createDataFrame([r for r in rows if r[0] != 31], "vec_id long, embedding array<double>"), k=3, block=8, pack=2)
+    assert sorted(map(tuple, top.collect()), key=str) == brute(
+        [r for r in rows if r[0] != 31], 3, lambda a, b: sum(int(64 * x // 1) * int(64 * y // 1) for x, y in zip(a, b, strict=True)))
+    for bad in (rows, [(20, [1e30]), (1, [1.0])]):
+        with pytest.raises(Exception, match="too large|64-bit"):
+            threshold_topk.top_k(spark.createDataFrame(bad, "vec_id long, embedding array<double>"), k=3).collect()
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.integers(0, 10**6), st.integers(1, 200), st.integers(1, 5), st.integers(1, 12))
 def test_threshold_lists_are_exact(seed, n, width, k):
