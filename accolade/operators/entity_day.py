@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -38,24 +38,45 @@ def entity_day(
     key: str = "player_id",
     day: str = "activity_date",
     flag: str = "visit_flag",
+    step: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per entity and day, summed over all sources.
 
     The sources are stacked as raw zero-filled rows and grouped once.  Spark sums each input
     split before the exchange, so an entity with a third of all rows sends at most one row
     per split and day.
+
+    With ``step``, each source's days are summed by themselves first, with its own measures only, and
+    handed to ``step``, which may store them: the exchanges that make a source's rows are then off
+    the disk before the next source is read and before the stacked days are exchanged.
     """
-    stacked = reduce(
-        DataFrame.unionByName,
-        [
-            c.rows.selectExpr(f"{c.key} AS {key}", f"{c.day} AS {day}", *zero_filled(measures, c.measures))
-            for c in contributions
-        ],
-    )
-    daily = stacked.groupBy(key, day).agg(*[F.sum(m).alias(m) for m in measures])
+
+    def summed(sources: Sequence[Contribution]) -> DataFrame:
+        stacked = reduce(
+            DataFrame.unionByName,
+            [
+                c.rows.selectExpr(f"{c.key} AS {key}", f"{c.day} AS {day}", *zero_filled(measures, c.measures))
+                for c in sources
+            ],
+        )
+        return stacked.groupBy(key, day).agg(*[F.sum(m).alias(m) for m in measures])
+
+    daily = summed(contributions)
+    if step:
+        types = daily.schema
+        days = [step(source_days(c, key, day), f"days_{i}") for i, c in enumerate(contributions)]
+        own = [Contribution(d, key, day, {m: m for m in c.measures}) for c, d in zip(contributions, days, strict=True)]
+        daily = summed(own).select(*[F.col(f.name).cast(f.dataType) for f in types])
     return with_activity_flag(daily, flag_measures, flag)
 
 
+def source_days(source: Contribution, key: str, day: str) -> DataFrame:
+    """One row per entity and day of one source, with its own measures."""
+    names = list(source.measures)
+    rows = source.rows.selectExpr(f"{source.key} AS {key}", f"{source.day} AS {day}", *zero_filled(names, source.measures))
+    return rows.groupBy(key, day).agg(*[F.sum(m).alias(m) for m in names])
+
+
 def with_activity_flag(daily: DataFrame, flag_measures: Sequence[str], flag: str = "visit_flag") -> DataFrame:
     """Add a 0/1 flag: did any of the flag measures move?"""
     return daily.withColumn(flag, F.expr(f"int({' + '.join(flag_measures)} > 0)"))

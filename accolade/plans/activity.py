@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +68,11 @@ def dining_days(staged: Mapping[str, DataFrame], policy: Policy) -> DataFrame:
     return per_day.join(staged["member"].select("member_id", "player_id"), "member_id")
 
 
-def guest_activity(staged: Mapping[str, DataFrame], policy: Policy) -> DataFrame:
-    """One row per guest and business day with gaming, dining, hotel or jackpot activity."""
+def guest_activity(
+    staged: Mapping[str, DataFrame], policy: Policy, step: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
+    """One row per guest and business day with gaming, dining, hotel or jackpot activity; ``step`` may
+    store the days of each source, see ``entity_day``."""
     stays = staged["reservation"].where(
         F.col("player_id").isNotNull() & F.col("reservation_status").isin(*P.STAY_STATUSES)
     )
@@ -92,4 +95,4 @@ def guest_activity(staged: Mapping[str, DataFrame], policy: Policy) -> DataFrame
             "jackpot_count": "1", "jackpot_amount": "jackpot_amount",
         }),
     ]
-    return entity_day(sources, policy.activity_measures, policy.visit_measures)
+    return entity_day(sources, policy.activity_measures, policy.visit_measures, step=step)

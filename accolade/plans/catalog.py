@@ -30,7 +30,7 @@ from accolade.operators.events import unpivot_cumulative
 from accolade.plans import balance_book as BB
 from accolade.plans import guest360 as G
 from accolade.plans import recommend as RE
-from accolade.plans.pipeline import STAGED_WORKLIST, Keep, Recognition, cutting, lazily, publish_staging
+from accolade.plans.pipeline import LAYERS, STAGED_WORKLIST, CutBySteps, Keep, Recognition, cutting, lazily, publish_staging
 from accolade.plans.rolling import RollingMilestones
 from accolade.policy import Policy
 from accolade.sources import readers, sample, sinks
@@ -520,13 +520,25 @@ def dq_excludes_ineligible(run: Recognition) -> DataFrame:
     return Q.check_excludes_ineligible(run.recommendations, run.guest_360)
 
 
-def dq_report(run: Recognition) -> DataFrame:
-    return run.check_report()
+# Tables that the report reads several times; the 360 is read from the profile, which the recommendations need too.
+REPORT_LABELS = ("guest_activity_daily", "guest_metric_events", "guest_profile", "guest_milestones", "recommendations",
+                 STAGED_WORKLIST)
 
 
-# Tables that the report reads several times.
-REPORT_LABELS = ("guest_activity_daily", "guest_metric_events", "guest_360", "guest_milestones", "recommendations",
-                 STAGED_WORKLIST)
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check of the run, a layer at a time, as a build checks them.
+
+    The counts of a layer are stored before the tables of the next are made, so the disk holds the
+    exchanges of one step only.  The profile is made before the metric events take their room.
+    """
+    keep = CutBySteps(*REPORT_LABELS)
+    run = recognition_run(spark, sf_dir, keep)
+    counts = []
+    for layer in LAYERS:
+        if layer == "intermediate":
+            run.profile  # noqa: B018 - built on first use
+        counts.append(keep.step(run.check_report([layer]), f"report_{layer}")[0])
+    return published(reduce(DataFrame.unionByName, counts))
 
 
 def _whole_cut(pick: Callable[[Recognition], DataFrame]) -> Query:
@@ -539,7 +551,8 @@ def queries() -> dict[str, Query]:
         f.__name__: f
         for f in (scan_sources, select_normalized, live_rows, minimize_columns, rules_catalog, budget_catalog,
                   table_sink_roundtrip, source_freshness, staging_views, clock_day, dq_unique_combination,
-                  strict_360, opening_balances, continued_totals, recommendations_from_balances, refreshed_milestones)
+                  strict_360, opening_balances, continued_totals, recommendations_from_balances, refreshed_milestones,
+                  dq_report)
     }
     out.update({f"stg_{name}": _staged(name) for name in SOURCE_COLUMNS})
     on_staging = (
@@ -570,7 +583,6 @@ def queries() -> dict[str, Query]:
         "entity_360": _of_run(lambda r: r.guest_360),
         "recommendations": _whole_cut(lambda r: r.recommendations),
         "worklist": _whole_cut(lambda r: r.worklist),
-        "dq_report": _of_run(dq_report, *REPORT_LABELS),
         "presence_flags": _of_run(presence_flags),
     })
     on_recs = (

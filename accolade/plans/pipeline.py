@@ -23,7 +23,7 @@ from accolade.plans import recommend as RE
 from accolade.plans.activity import guest_activity
 from accolade.plans.balance_book import BalanceBook
 from accolade.policy import Policy
-from accolade.sources.sinks import cut, save_table
+from accolade.sources.sinks import cut, fresh_path, release, save_table, shuffles_removed, smaller_splits, write_table
 from accolade.sources.staging import stage_all
 
 Keep = Callable[[DataFrame, str], DataFrame]
@@ -51,6 +51,58 @@ def cutting(*labels: str) -> Keep:
     return keep
 
 
+class CutBySteps:
+    """Writes the named tables to the shared folder like ``cutting``, with little on disk at a time.
+
+    The entity-days are made in steps, each stored before the next: the days of each source, the days
+    of all, their buckets.  A step's exchanges and what only it has read are removed when it is stored.
+    Bad rows are counted by the pass that writes, so a table of ``SPENT`` is removed with the last
+    table that is made from it.
+    """
+
+    #: Tables that are removed when another has been stored.
+    SPENT = {"guest_milestones": "guest_metric_events"}
+    #: Parts into which a split of a table is cut that the next step reads.
+    PARTS_A_SPLIT = 4
+
+    def __init__(self, *labels: str):
+        self.labels = labels
+        #: Folders by label.
+        self.paths: dict[str, str] = {}
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        return self.watched(df, label, {})[0]
+
+    def step(self, df: DataFrame, label: str, watch: Mapping[str, Column] | None = None) -> tuple[DataFrame, dict[str, int]]:
+        """Store a table whatever its label, without its exchanges."""
+        spark = df.sparkSession
+        self.paths[label] = fresh_path(spark, label)
+        with shuffles_removed(spark), smaller_splits(spark, self.PARTS_A_SPLIT):
+            counts = write_table(df, self.paths[label], watch=watch)
+        return spark.read.schema(df.schema).parquet(self.paths[label]), counts
+
+    def source_days(self, df: DataFrame, label: str) -> DataFrame:
+        return self.step(df, label)[0]
+
+    def watched(self, df: DataFrame, label: str, watch: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+        """Store a table, if it is a named one, and count the rows that meet each predicate on the way."""
+        if label not in self.labels:
+            return df, {}
+        before = [name for name in self.paths if name.startswith("days_")] if label == "guest_activity_daily" else []
+        stored, counts = self.step(df, label, watch)
+        self._remove(df, *before)
+        if label == "guest_activity_daily":
+            with shuffles_removed(df.sparkSession), smaller_splits(df.sparkSession, self.PARTS_A_SPLIT):
+                stored = cut(stored, label, "player_id", ("player_id", "activity_date"))
+            self._remove(df, label)
+        if label in self.SPENT:
+            self._remove(df, self.SPENT[label])
+        return stored, counts
+
+    def _remove(self, df: DataFrame, *labels: str) -> None:
+        release(df.sparkSession, [self.paths.pop(label) for label in labels if label in self.paths])
+
+
 # Tables read by several later ones or by consumers, and the schema each belongs to.
 INTERMEDIATE = (
     "guest_activity_daily", "guest_cumulative_daily", "guest_visit_streaks", "guest_calendar_events",
@@ -118,7 +170,8 @@ class Recognition:
         """One row per guest and business day, computed or as handed in."""
         if self._activity is not None:
             return self._activity
-        return self._store(guest_activity(self.staged, self.policy), "guest_activity_daily")
+        step = getattr(self._keep, "source_days", None)
+        return self._store(guest_activity(self.staged, self.policy, step), "guest_activity_daily")
 
     @cached_property
     def cumulative(self) -> DataFrame:

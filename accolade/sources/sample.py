@@ -83,19 +83,20 @@ PARTS_A_SPLIT = 4
 def player_session(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One session per (order, line number); repeated lines are merged by maxima.
 
-    The one-letter flag is compared by its code, which keeps the grouping a hash aggregate.  The merged
-    lines are dealt by order into a few parts at least for each split of their scan.  Left to itself,
-    adaptive execution puts parts together up to 64 MB of compressed rows: millions of lines, which one
-    task would sort for the join and then hold as wide sums by guest and day.
+    The one-letter flag is compared by its code, which keeps the grouping a hash aggregate.  The lines
+    are dealt by order into a few parts at least for each split of their scan, and that one exchange
+    serves the merge and the join with the orders.  Left to itself, adaptive execution puts parts
+    together up to 64 MB of compressed rows: millions of lines, which one task would sort for the join
+    and then hold as wide sums by guest and day.
     """
     parts = PARTS_A_SPLIT * lineitem.select("l_orderkey").rdd.getNumPartitions()
     kept = ("l_suppkey", "flag", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
     lines = (
         lineitem.selectExpr("l_orderkey", "l_linenumber", "ascii(l_returnflag) AS flag", *[c for c in kept if c != "flag"])
+        .repartition(parts, "l_orderkey")
         .groupBy("l_orderkey", "l_linenumber")
         .agg({c: "max" for c in kept})
         .withColumnsRenamed({f"max({c})": c for c in kept})
-        .repartition(parts, "l_orderkey")
         .selectExpr(
             "*", "CAST(l_extendedprice AS DECIMAL(18,2)) AS price", "CAST(l_discount AS DECIMAL(4,2)) AS rate"
         )

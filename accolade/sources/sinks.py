@@ -5,19 +5,68 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Full overwrite of one table folder, optionally partitioned for pruned reads."""
-    writer = df.write.mode("overwrite").format(fmt)
+#: Spark's setting that removes the shuffle files of an execution when it ends, and the one that bounds a split.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
+    """Writes inside leave no shuffle files behind.
+
+    For tables that are read back from where they are written, so nothing asks for these files again.
+    Left to itself, Spark removes them when the driver's garbage collection finds their plan, which on
+    a large heap may be after the whole run: the exchanges of all tables would then be on disk together.
+    """
+    return _setting(spark, SHUFFLE_CLEANUP, "true")
+
+
+def smaller_splits(spark: SparkSession, parts: int) -> AbstractContextManager[None]:
+    """Writes inside read splits of a part of the usual size: a stored table has more rows to the
+    byte than its wide sums, or the rows of its exchange, have room for in one task."""
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return _setting(spark, SPLIT_BYTES, str(max(1, most // parts)))
+
+
+def _watching(df: DataFrame, watch: Mapping[str, Column] | None) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """Rows that count those that meet each predicate as they are written, and the counts to ask for after that."""
+    if not watch:
+        return df, dict
+    seen = Observation()
+    rows = df.observe(seen, *[F.count_if(c).alias(f"watch_{i}") for i, c in enumerate(watch.values())])
+    return rows, lambda: {check: seen.get.get(f"watch_{i}", 0) for i, check in enumerate(watch)}
+
+
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", watch: Mapping[str, Column] | None = None
+) -> dict[str, int]:
+    """Full overwrite of one table folder, optionally partitioned for pruned reads; returns the counts of
+    ``watch``, as ``save_table`` does."""
+    rows, counts = _watching(df, watch)
+    writer = rows.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+    return counts()
 
 
 #: Marks the row that stands for a partition whose rows have all gone.
@@ -94,9 +143,7 @@ def save_table(
         rows = rows.repartition(n, F.col(bucket_by))
     elif folders:
         rows = rows.hint("rebalance", *folders)
-    seen = Observation()
-    if watch:
-        rows = rows.observe(seen, *[F.count_if(c).alias(f"watch_{i}") for i, c in enumerate(watch.values())])
+    rows, counts = _watching(rows, watch)
     writer = rows.write
     if folders:
         writer = writer.partitionBy(*folders)
@@ -107,9 +154,8 @@ def save_table(
     if path:
         writer = writer.option("path", path)
     writer.mode("overwrite").format("parquet").saveAsTable(name)
-    counts = seen.get if watch else {}
     stored = spark.table(name).select(*df.columns, *[c for c in folders if c not in df.columns])
-    return stored, {check: counts.get(f"watch_{i}", 0) for i, check in enumerate(watch or {})}
+    return stored, counts()
 
 
 #: Folders that ``cut`` and its callers wrote in this process, oldest first.

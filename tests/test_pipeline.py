@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import time
 import uuid
 from decimal import Decimal as M
+from pathlib import Path
 
 import pytest
 from conftest import SMALL, rows
@@ -15,7 +17,7 @@ from accolade import policy as P
 from accolade.operators import signals as SG
 from accolade.operators import windows as W
 from accolade.plans import catalog
-from accolade.plans.pipeline import ChecksFailed, Recognition, TablesKept, build, cutting, publish_staging
+from accolade.plans.pipeline import ChecksFailed, CutBySteps, Recognition, TablesKept, build, cutting, publish_staging
 from accolade.policy import Policy
 from accolade.sources import readers, sinks
 from accolade.sources.staging import SOURCE_COLUMNS
@@ -278,6 +280,53 @@ def test_counts_of_the_write(spark):
     spark.sql(f"DROP TABLE {name}")
 
 
+def shuffle_files(spark) -> set[str]:
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f.name for folder in folders for f in Path(folder.getPath()).rglob("shuffle_*")}
+
+
+@pytest.mark.parametrize("label", ["guest_milestones", "guest_activity_daily"])
+def test_tables_cut_by_steps_leave_no_shuffle_files(spark, label):
+    settings = lambda: [spark.conf.get(name, None) for name in (sinks.SHUFFLE_CLEANUP, sinks.SPLIT_BYTES)]
+    before, set_before = shuffle_files(spark), settings()
+    with sinks.scratch(spark):
+        days = spark.range(1000).groupBy((F.col("id") % 10).alias("player_id"), F.lit(AS_OF).alias("activity_date")).agg(F.count("*").alias("n"))
+        stored = CutBySteps(label)(days, label)
+        until = time.time() + 10  # Spark removes them a moment after the write
+        while shuffle_files(spark) - before and time.time() < until:
+            time.sleep(0.1)
+        assert not shuffle_files(spark) - before
+        assert rows(stored) == [(k, AS_OF, 100) for k in range(10)]
+    assert settings() == set_before
+
+
+def test_the_report_removes_what_later_steps_do_not_read(spark):
+    with sinks.scratch(spark):
+        before = set(sinks._WRITTEN)
+        report = catalog.dq_report(spark, SMALL)
+        left = {Path(p).name.rpartition("_")[0] for p in sinks._WRITTEN if p not in before}
+        assert left == {"guest_activity_daily", "guest_profile", "guest_milestones", "recommendations",
+                        "daily_worklist_staged", "report_staged", "report_intermediate", "report_marts"}
+        assert rows(report.where("table = 'guest_metric_events'")) == [("not_null(metric_name)", "guest_metric_events", 0)]
+
+
+def test_tables_cut_by_steps_are_those_of_one_pass(spark):
+    """Guests with two kinds of activity on a day, sessions of nobody, comped stays and bad rows of each table."""
+    stay = lambda i, p, day, comp: (i, p, 1, day, day + dt.timedelta(days=2), M("80"), comp, "CheckedOut")
+    data = dict(player=[player(1), player(2)], member=[member(1), member(2)],
+                player_session=[session(1, 1, AS_OF), session(2, 1, AS_OF), session(3, None, AS_OF), session(4, 2, D(2000, 3, 1))],
+                reservation=[stay(1, 1, AS_OF, True), stay(2, 1, AS_OF, False), stay(3, 2, D(2000, 3, 1), None)])
+    with sinks.scratch(spark):
+        steps = run(spark, **data)
+        steps._keep = CutBySteps("guest_activity_daily", "guest_metric_events", "guest_milestones")
+        lazy = run(spark, **data)
+        assert steps.activity.schema.simpleString() == lazy.activity.schema.simpleString()
+        assert rows(steps.activity) == rows(lazy.activity) and steps.activity.count() == 3
+        assert steps.counted["guest_activity_daily"] == {"not_null(player_id)": 1}
+        assert rows(steps.milestones) == rows(lazy.milestones)
+        assert rows(steps.check_report()) == rows(lazy.check_report())
+
+
 def test_each_layer_is_checked_before_the_next(spark):
     r = catalog.recognition_run(spark, SMALL)
     r.staged = {**r.staged, "check": r.staged["check"].unionByName(r.staged["check"].limit(1))}

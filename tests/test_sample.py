@@ -33,3 +33,11 @@ def test_sessions_stay_dealt_in_parts(spark, broadcast):
     assert len({r["part"] for r in found}) >= sample.PARTS_A_SPLIT * SPLITS - 1
     wanted = {(i // LINES * 8 + i % LINES, i // LINES % 50, (i + 24 * (i % 3 == 0)) % 500) for i in range(ORDERS * LINES)}
     assert {(r["SessionID"], r["PlayerID"], r["PointsAwarded"]) for r in found} == wanted and len(found) == ORDERS * LINES
+
+
+def test_one_exchange_serves_the_merge_and_the_join(spark):
+    lines, orders = tables(spark)
+    sessions = sample.player_session(lines.withColumn("l_orderkey", F.expr("nullif(l_orderkey, -1)")), orders)
+    plan = sessions._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert "isnotnull" in plan.partition("Exchange hashpartitioning(l_orderkey")[2].partition("Range")[0]  # lines of no order stay
